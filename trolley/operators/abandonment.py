@@ -50,6 +50,10 @@ def tracked(events: DataFrame, at: str) -> DataFrame:
     )
 
 
+def _stretch(at: str, stretch_ms: int) -> Column:
+    return F.expr(f"{at} div {stretch_ms}").alias("stretch")
+
+
 def decide(last_cart: Column, last_purchase: Column, seconds: int) -> Column:
     """Outcome of one timer, by name.
 
@@ -119,7 +123,7 @@ def firings(
                 F.when(F.col("cart").isNotNull(), F.array(seen, timer)).otherwise(F.array(seen))
             ).alias("m"),
         )
-        .select("user_session", F.floor(F.col("m.at_ms") / stretch_ms).alias("stretch"), "m.*")
+        .select("user_session", _stretch("m.at_ms", stretch_ms), "m.*")
         .repartition("user_session", "stretch")
     )
 
@@ -137,8 +141,10 @@ def firings(
         F.last("purchase", ignorenulls=True).over(so_far).alias("purchase"),
     ).where("is_timer")
 
+    # Reads the same columns as the window above, so that both share one shuffle.
     def last_of(name: str):
-        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("at_ms"))).alias(name)
+        is_value = F.col(name).isNotNull() & ~F.col("is_timer")
+        return F.max_by(name, F.when(is_value, F.col("at_ms"))).alias(name)
 
     before = (
         Window.partitionBy("user_session")
@@ -158,7 +164,7 @@ def firings(
     outcome = decide(
         F.coalesce("cart", "old_cart"), F.coalesce("purchase", "old_purchase"), seconds
     )
-    return timers.join(carried, ["user_session", "stretch"]).select(
+    return timers.join(carried, ["user_session", "stretch"], "left").select(
         "user_session",
         ms_to_ntz(F.col("at_ms")).alias("fired_at"),
         outcome.alias("outcome"),
@@ -201,7 +207,7 @@ def abandoned_carts(
     as several rows: ``chunk`` 0 has the oldest items, higher ones the newer, none more than
     ``chunk`` items, so a list of any length is whole and no task collects more than that.
     """
-    items = items.withColumn("stretch", F.floor(F.col("at_ms") / stretch_ms))
+    items = items.select("*", _stretch("at_ms", stretch_ms))
     last_fired = log.groupBy("user_session").agg(
         F.unix_millis(F.max("fired_at").cast("timestamp")).alias("fired_ms")
     )
@@ -214,7 +220,6 @@ def abandoned_carts(
         items.groupBy("user_session", "stretch")
         .agg(F.count("*").alias("n"))
         .join(last_fired, "user_session")
-        .where(F.col("stretch") <= F.floor(F.col("fired_ms") / stretch_ms))
         .select(
             "user_session",
             "stretch",
