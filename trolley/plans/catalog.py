@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 
 from trolley.functions.text import ms_to_ntz
 from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
-from trolley.plans import dirt
+from trolley.plans import dashboard, dirt
 from trolley.schema import CART, PURCHASE, REMOVE, VIEW
 from trolley.session import cut, shared_dir
 from trolley.sources import raw_csv, topic
-from trolley.sources.event_table import read_table, shopping_events
+from trolley.sources.event_table import (
+    as_shopping_events,
+    read_table,
+    read_table_stream,
+    shopping_events,
+)
+from trolley.sources.tables import read_rows
+from trolley.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +31,6 @@ SEEN = (VIEW, CART)
 TRACKED = (CART, PURCHASE)
 SCORED = (VIEW, CART, PURCHASE, REMOVE)
 
-# A known row of the replay log, for keyset paging: page 1 starts after the last row of page 0.
 PAGE_DEEP = 100
 
 
@@ -49,14 +55,10 @@ def _carts(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
 
 def _page_with_products(spark: SparkSession, sf_dir: str, number: int, near: int) -> DataFrame:
     log = cut(_log(spark, sf_dir, "replay"))
-    entries = ranking.page(log, number, near=near)
-    # Only the sessions on the page need their lists; a page is 10 rows, so broadcast it.
-    sessions = F.broadcast(entries.select("user_session").distinct())
     items = abandonment.cart_items(shopping_events(spark, sf_dir, (CART,)), "replay")
-    lists = abandonment.abandoned_carts(
-        items.join(sessions, "user_session", "left_semi"), log.join(sessions, "user_session", "left_semi")
+    return dashboard.page_with_lists(
+        log, items, number, near=near, stretch_ms=abandonment.CLOCKS["replay"][1]
     )
-    return ranking.with_products(entries, lists)
 
 
 def _page_after_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +122,30 @@ def _csv_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _live(spark: SparkSession, sf_dir: str, *started) -> str:
+    """Run live jobs over the events table as a stream, to its end; returns the tables' root."""
+    root = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
+    events = as_shopping_events(read_table_stream(spark, sf_dir))
+    for query in [job(events, root) for job in started]:
+        query.awaitTermination()
+    return root
+
+
+def _live_rows(spark: SparkSession, sf_dir: str, job) -> DataFrame:
+    """The table a job leaves, with zone-free times."""
+    rows = read_rows(spark, _live(spark, sf_dir, job), job.__name__)
+    return rows.select(
+        *[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else c for c, t in rows.dtypes]
+    )
+
+
+def _live_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _live(spark, sf_dir, jobs.abandonment_log, jobs.cart_items)
+    return dashboard.abandoned_page(spark, root).withColumn(
+        "fired_at", F.col("fired_at").cast("timestamp_ntz")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "purchase_windows": lambda s, d: windows.purchase_windows(shopping_events(s, d, BOUGHT), "arrival_ts"),
     "purchase_windows_event_3s": lambda s, d: windows.purchase_windows(
@@ -171,4 +197,16 @@ QUERIES: dict[str, Query] = {
     "event_json_roundtrip": _json_roundtrip,
     "json_rejects": _json_rejects,
     "csv_replay": _csv_replay,
+    "stream_purchase_windows": lambda s, d: _live_rows(s, d, jobs.purchase_windows),
+    "stream_removal_windows": lambda s, d: _live_rows(s, d, jobs.removal_windows),
+    "stream_user_activity": lambda s, d: _live_rows(s, d, jobs.user_activity),
+    "stream_user_product": lambda s, d: _live_rows(s, d, jobs.user_product),
+    "stream_abandonment_log": lambda s, d: _live_rows(s, d, jobs.abandonment_log),
+    "dashboard_top_purchased": lambda s, d: dashboard.top_purchased(s, _live(s, d, jobs.purchase_windows)),
+    "dashboard_top_removed": lambda s, d: dashboard.top_removed(s, _live(s, d, jobs.removal_windows)),
+    "dashboard_top_users": lambda s, d: dashboard.top_users(s, _live(s, d, jobs.user_activity)),
+    "dashboard_unconverted_for_user": lambda s, d: dashboard.unconverted_for_user(
+        s, _live(s, d, jobs.user_product), 15, 2
+    ),
+    "dashboard_abandoned_page": _live_page,
 }

@@ -25,8 +25,14 @@ def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def read_table_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(TABLE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+def read_table_stream(spark: SparkSession, folder: str, files: str = "events.parquet") -> DataFrame:
+    """The table as a stream of its files, one per micro-batch."""
+    return (
+        spark.readStream.schema(TABLE_SCHEMA)
+        .option("pathGlobFilter", files)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(folder)
+    )
 
 
 # Types of the table that stand for other shopping events.
