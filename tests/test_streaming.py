@@ -1,0 +1,228 @@
+"""Live jobs against the batch operators: order, restarts, lateness, resets."""
+
+import json
+import random
+import time
+
+import pytest
+from helpers import at, make_events, tuples
+from pyspark.sql import functions as F
+
+from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
+from trolley.plans import dashboard
+from trolley.sources import raw_csv, tables, topic
+from trolley.streaming import jobs
+
+KINDS = ["view", "cart", "purchase", "remove_from_cart", "signup"]
+# Far ahead of everything else, of a kind that counts, so that all windows and timers close.
+END = 100_000
+
+
+def shop(seed, n=300):
+    rng = random.Random(seed)
+    rows = [
+        {
+            "event_type": rng.choice(KINDS),
+            "product_id": f"p{rng.randrange(12)}",
+            "user_id": rng.randrange(6),
+            "user_session": f"s{rng.randrange(40)}",
+            "event_time": at(i),
+        }
+        for i in range(n)
+    ]
+    # Out of order by less than the watermark delay.
+    return sorted(rows, key=lambda r: (r["event_time"], 0)) if seed == 0 else rows[::-1]
+
+
+def end_rows():
+    return [
+        {"event_type": k, "product_id": "end", "user_id": 0, "user_session": "end", "event_time": at(END)}
+        for k in ("cart", "purchase", "remove_from_cart")
+    ]
+
+
+def write_file(folder, name, rows):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
+
+
+def events_from(spark, folder):
+    return topic.accepted(topic.parse(topic.read_lines_stream(spark, str(folder))))
+
+
+def in_parts(tmp_path, rows, parts=3):
+    size = -(-len(rows) // parts)
+    for i in range(parts):
+        write_file(tmp_path / "in", f"{i}.json", rows[i * size : (i + 1) * size])
+        time.sleep(0.02)
+    write_file(tmp_path / "in", "end.json", end_rows())
+    return tmp_path / "in"
+
+
+def run(job, spark, folder, root, **kw):
+    job(events_from(spark, folder), str(root), **kw).awaitTermination()
+
+
+def plain(df):
+    casts = [F.col(c).cast("string") if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes]
+    return tuples(df.select(*casts))
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_windows_equal_batch(spark, tmp_path, seed):
+    rows = shop(seed)
+    folder = in_parts(tmp_path, rows)
+    batch = make_events(spark, rows)
+    for job, name, twin in (
+        (jobs.purchase_windows, "purchase_windows", windows.purchase_windows),
+        (jobs.removal_windows, "removal_windows", windows.removal_windows),
+    ):
+        run(job, spark, folder, tmp_path / "out")
+        table = tables.read_rows(spark, str(tmp_path / "out"), name)
+        assert plain(table) == plain(twin(batch, "event_ts"))
+
+
+def test_running_totals_equal_batch_and_survive_a_restart(spark, tmp_path):
+    rows = shop(1)
+    write_file(tmp_path / "in", "0.json", rows[:100])
+    root = tmp_path / "out"
+    keyed = {"user_activity": ["user_id"], "user_product": ["user_id", "product_id"]}
+    run(jobs.user_activity, spark, tmp_path / "in", root)
+    run(jobs.user_product, spark, tmp_path / "in", root)
+    write_file(tmp_path / "in", "1.json", rows[100:])
+    for _ in range(2):  # the second start has nothing new and must change nothing
+        run(jobs.user_activity, spark, tmp_path / "in", root)
+        run(jobs.user_product, spark, tmp_path / "in", root)
+        batch = make_events(spark, rows)
+        totals = tables.read_latest(spark, str(root), "user_activity", keyed["user_activity"])
+        assert plain(totals) == plain(activity.user_activity(batch))
+        pairs = tables.read_latest(spark, str(root), "user_product", keyed["user_product"])
+        assert plain(pairs) == plain(affinity.user_product(batch))
+    assert tables.read_batches(spark, str(root), "user_activity").agg(F.max("batch_id")).first()[0] == 1
+
+
+def test_a_batch_written_twice_counts_once(spark, tmp_path):
+    write = tables.batch_writer(str(tmp_path), "abandonment_log")
+    rows = spark.createDataFrame([("s", None)], "user_session string, fired_at timestamp")
+    write(rows, 0)
+    write(rows, 0)
+    write(rows, 1)
+    assert tables.read_rows(spark, str(tmp_path), "abandonment_log").count() == 2
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_abandonment_equals_batch(spark, tmp_path, seed):
+    rows = shop(seed, 400)
+    folder = in_parts(tmp_path, rows)
+    root = str(tmp_path / "out")
+    run(jobs.abandonment_log, spark, folder, root)
+    run(jobs.cart_items, spark, folder, root)
+    batch = make_events(spark, rows)
+    log = abandonment.abandonment_log(abandonment.firings(batch, "event"))
+    assert plain(tables.read_rows(spark, root, "abandonment_log")) == plain(log)
+
+    lists = abandonment.abandoned_carts(
+        abandonment.cart_items(batch, "event"), log, abandonment.HOUR_MS
+    )
+    page = ranking.with_products(ranking.page(log, 1), lists)
+    live = dashboard.abandoned_page(spark, root, 1)
+    assert plain(live.select("user_session", "fired_at", "products")) == plain(
+        page.select("user_session", "fired_at", "products")
+    )
+    assert dashboard.abandoned_pages(spark, root).first().entries == log.count()
+
+
+def test_a_cart_is_not_retracted(spark, tmp_path):
+    """A purchase after the firing, in a later run, changes nothing."""
+    root = tmp_path / "out"
+    cart = {"event_type": "cart", "product_id": "p", "user_id": 1, "user_session": "s"}
+    write_file(tmp_path / "in", "0.json", [cart | {"event_time": at(0)}])
+    run(jobs.abandonment_log, spark, tmp_path / "in", root)
+    write_file(tmp_path / "in", "1.json", [cart | {"user_session": "t", "event_time": at(5000)}])
+    run(jobs.abandonment_log, spark, tmp_path / "in", root)
+    write_file(tmp_path / "in", "2.json", [cart | {"event_type": "purchase", "event_time": at(5001)}])
+    run(jobs.abandonment_log, spark, tmp_path / "in", root)
+    assert [r[0] for r in plain(tables.read_rows(spark, str(root), "abandonment_log"))] == ["s"]
+
+
+def test_timers_by_arrival(spark, tmp_path):
+    """Timers of one second of wall-clock time fire in a later micro-batch."""
+    root, folder = tmp_path / "out", tmp_path / "in"
+
+    def send(name, *rows):
+        base = {"product_id": "p", "user_id": 1}
+        write_file(folder, name, [base | r for r in rows])
+        run(jobs.abandonment_log, spark, folder, root, clock="ingest", seconds=1)
+
+    send(
+        "0.json",
+        {"user_session": "left", "event_type": "cart", "event_time": at(0)},
+        {"user_session": "left", "event_type": "cart", "event_time": at(3)},
+        {"user_session": "bought", "event_type": "cart", "event_time": at(0)},
+        {"user_session": "bought", "event_type": "purchase", "event_time": at(1)},
+        {"user_session": "late", "event_type": "cart", "event_time": at(0)},
+        {"user_session": "late", "event_type": "purchase", "event_time": at(2)},
+        {"user_session": "badcart", "event_type": "cart", "event_time": "2020-02-30 00:00:00"},
+        {"user_session": "badbuy", "event_type": "cart", "event_time": at(0)},
+        {"user_session": "badbuy", "event_type": "purchase", "event_time": "2020-02-30 00:00:00"},
+    )
+    time.sleep(1.5)
+    send("1.json", {"user_session": "other", "event_type": "purchase", "event_time": at(0)})
+    log = tables.read_rows(spark, str(root), "abandonment_log")
+    assert sorted(r.user_session for r in log.collect()) == ["badbuy", "late", "left"]
+
+
+def test_rejects_are_kept(spark, tmp_path):
+    write_file(tmp_path / "in", "0.json", [{"user_id": 1}, {"user_id": None}])
+    parsed = topic.parse(topic.read_lines_stream(spark, str(tmp_path / "in")))
+    jobs.rejects(parsed, str(tmp_path / "out"), ("user_id",)).awaitTermination()
+    rows = tables.read_rows(spark, str(tmp_path / "out"), "rejects").collect()
+    assert [r.reason for r in rows] == ["missing_user_id"]
+
+
+def test_csv_to_lines_to_tables(spark, tmp_path):
+    """Producer and consumer end to end: CSV files, cleaned, as lines, into totals."""
+    header = "event_time,event_type,product_id,category_id,price,user_id,user_session"
+    rows = [f"2020-01-01 00:00:0{i} UTC,view,p1,1,2.5,{'x' if i == 3 else 7},s" for i in range(5)]
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("\n".join([header, *rows]) + "\n")
+    raw = raw_csv.read_raw_csv_stream(spark, str(tmp_path / "csv"), header.split(","))
+    jobs.replay_to_files(raw, str(tmp_path / "topic"), str(tmp_path / "check")).awaitTermination()
+    run(jobs.user_product, spark, tmp_path / "topic", tmp_path / "out")
+    found = dashboard.unconverted_for_user(spark, str(tmp_path / "out"), 7)
+    assert tuples(found) == [(7, "p1", 4)]
+    assert dashboard.unconverted_for_user(spark, str(tmp_path / "out"), None).count() == 0
+    same = cleaning.payload(cleaning.clean(raw_csv.read_raw_csv(spark, str(tmp_path / "csv"))))
+    assert same.count() == topic.read_lines(spark, str(tmp_path / "topic")).count() == 4
+
+
+def test_reset_empties_every_table(spark, tmp_path):
+    root = str(tmp_path / "out")
+    write_file(tmp_path / "in", "0.json", shop(0, 50))
+    run(jobs.user_activity, spark, tmp_path / "in", root)
+    assert tables.read_rows(spark, root, "user_activity").count() > 0
+    tables.reset(spark, root)
+    for name in tables.RESULT_SCHEMAS:
+        table = tables.read_rows(spark, root, name)
+        assert table.count() == 0 and table.columns == tables._schema(name).names
+    assert dashboard.top_users(spark, root).count() == 0
+    assert dashboard.top_purchased(spark, root).count() == 0
+    assert tuples(dashboard.abandoned_pages(spark, root)) == [(0, 1)]
+    run(jobs.user_activity, spark, tmp_path / "in", root, checkpoints=str(tmp_path / "fresh"))
+    batch = activity.user_activity(make_events(spark, shop(0, 50)))
+    assert plain(tables.read_latest(spark, root, "user_activity", ["user_id"])) == plain(batch)
+
+
+def test_compact_keeps_the_content_and_the_job_goes_on(spark, tmp_path):
+    old, new = str(tmp_path / "out"), str(tmp_path / "new")
+    rows = shop(0, 90)
+    check = str(tmp_path / "check")
+    for i in range(2):
+        write_file(tmp_path / "in", f"{i}.json", rows[i * 30 : i * 30 + 30])
+        run(jobs.user_activity, spark, tmp_path / "in", old, checkpoints=check)
+    tables.compact(spark, old, "user_activity", new, ["user_id"])
+    assert tables.read_batches(spark, new, "user_activity").select("batch_id").distinct().count() == 1
+    write_file(tmp_path / "in", "2.json", rows[60:])
+    run(jobs.user_activity, spark, tmp_path / "in", new, checkpoints=check)
+    totals = tables.read_latest(spark, new, "user_activity", ["user_id"])
+    assert plain(totals) == plain(activity.user_activity(make_events(spark, rows)))

@@ -1,33 +1,46 @@
-"""Text to number and text to time, with the reading rules of the event producers."""
+"""Text to number and text to time, with the reading rules of the event producers.
+
+The common spellings take the engine's native casts; patterns only guard what a cast would accept
+too much of.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as stripped from the text, and the number spellings accepted.
-SPACE = r"[\s\x1c-\x1f]"
+# The characters stripped from the ends of a number, and of any other text.
+NUMBER_WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+WHITESPACE = NUMBER_WHITESPACE + "\x1c\x1d\x1e\x1f"
+
+# The number and time spellings accepted.
 DIGITS = r"\d+(?:_\d+)*"
 NUMBER = rf"[+-]?(?:{DIGITS}\.?(?:{DIGITS})?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?"
 NOT_FINITE = r"[+-]?(?i:nan|inf|infinity)"
-CLOCK_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}$"
+YEAR = r"(?!0000)\d{4}"
+CLOCK_TEXT = rf"^{YEAR}-\d\d-\d\d \d\d:\d\d:\d\d$"
+LOOSE_CLOCK_TEXT = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}[{WHITESPACE}]+\d{{1,2}}:\d{{1,2}}:\d{{1,2}}$"
+TWO_PARTS = rf"^[^{WHITESPACE}]+[{WHITESPACE}]+[^{WHITESPACE}]+$"
 
 
 def trim_all(text: Column) -> Column:
     """Strip every kind of whitespace, not only spaces."""
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def to_double(text: Column) -> Column:
     """Text to DOUBLE; NaN and infinities are values, anything else malformed is NULL."""
-    bare = trim_all(text)
+    bare = F.btrim(text, F.lit(NUMBER_WHITESPACE))
     spelled = bare.rlike(rf"^(?:{NUMBER}|{NOT_FINITE})$")
     return F.when(spelled, F.translate(bare, "_", "").try_cast("double"))
 
 
-def to_bigint(text: Column) -> Column:
-    """Text to BIGINT through DOUBLE, cutting the fraction; NULL if it has no such value."""
-    return to_double(text).try_cast("bigint")
+def double_to_bigint(number: Column) -> Column:
+    """Cut the fraction; NULL for NaN, infinities and what does not fit."""
+    return number.try_cast("bigint")
 
 
 def id_to_bigint(text: Column) -> Column:
@@ -42,14 +55,16 @@ def bare_time(event_time: Column) -> Column:
 
 def has_time_shape(event_time: Column) -> Column:
     """True if the text is exactly two whitespace-separated parts; missing text is not."""
-    return F.coalesce(bare_time(event_time).rlike(rf"(?U)^\S+{SPACE}+\S+$"), F.lit(False))
+    return F.coalesce(bare_time(event_time).rlike(TWO_PARTS), F.lit(False))
 
 
 def to_event_ts(event_time: Column) -> Column:
     """``YYYY-M-D H:M:S`` (optional `` UTC``) to a timestamp; NULL if it is no real time."""
     bare = bare_time(event_time)
-    one_space = F.regexp_replace(bare, r"\s+", " ")
-    return F.when(bare.rlike(CLOCK_TEXT), F.try_to_timestamp(one_space, F.lit("y-M-d H:m:s")))
+    one_space = F.regexp_replace(bare, rf"[{WHITESPACE}]+", " ")
+    return F.when(bare.rlike(CLOCK_TEXT), bare.try_cast("timestamp")).when(
+        bare.rlike(LOOSE_CLOCK_TEXT), F.try_to_timestamp(one_space, F.lit("y-M-d H:m:s"))
+    )
 
 
 def epoch_ms(ts: Column) -> Column:
@@ -60,3 +75,12 @@ def epoch_ms(ts: Column) -> Column:
 def ms_to_ntz(ms: Column) -> Column:
     """Epoch milliseconds to a zone-free timestamp."""
     return F.timestamp_millis(ms).cast("timestamp_ntz")
+
+
+def once(columns: list[Column]) -> Column:
+    """Columns worked out once per row, however many filters and projections use them later.
+
+    Plain projections are copied into every later filter by the optimizer; the output of a
+    generator is not.
+    """
+    return F.inline(F.array(F.struct(*columns)))

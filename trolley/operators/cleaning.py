@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.functions.text import to_bigint, to_double, trim_all
+from trolley.functions.text import double_to_bigint, once, to_double, trim_all
 from trolley.schema import REPLAY_STEP_MS
 from trolley.session import cut
 
@@ -22,22 +22,24 @@ def _checked(raw: DataFrame) -> DataFrame:
     Reasons follow the order of conversion; the first failure names the row.
     """
     have = {c: F.col(c) if c in raw.columns else F.lit(None).cast("string") for c in CONVERTED}
-    finite = F.lit(float("inf"))
-    checked = raw.select(
+    numbers = raw.select(
         "*",
-        to_bigint(have["user_id"]).alias("_c_user_id"),
-        to_double(have["user_id"]).alias("_d_user_id"),
-        to_bigint(have["category_id"]).alias("_c_category_id"),
-        to_double(have["category_id"]).alias("_d_category_id"),
-        to_double(have["price"]).alias("_c_price"),
-        trim_all(have["event_time"]).alias("_c_event_time"),
+        once(
+            [
+                to_double(have["user_id"]).alias("_d_user_id"),
+                to_double(have["category_id"]).alias("_d_category_id"),
+                to_double(have["price"]).alias("_c_price"),
+                trim_all(have["event_time"]).alias("_c_event_time"),
+            ]
+        ),
     )
 
     def bad_int(name: str):
         number = F.col(f"_d_{name}")
-        too_big = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < finite)
-        return F.when(
-            F.col(f"_c_{name}").isNull(), F.when(too_big, "out_of_range").otherwise(f"bad_{name}")
+        finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+        return (
+            F.when(number.isNull() | ~finite, f"bad_{name}")
+            .when(double_to_bigint(number).isNull(), "out_of_range")
         )
 
     reason = F.coalesce(
@@ -46,7 +48,14 @@ def _checked(raw: DataFrame) -> DataFrame:
         F.when(F.col("_c_price").isNull(), "bad_price"),
         F.when(F.col("_c_event_time").isNull(), "missing_event_time"),
     )
-    return checked.withColumn("reason", reason)
+    return numbers.select(
+        *[F.col(c) for c in raw.columns],
+        double_to_bigint(F.col("_d_user_id")).alias("_c_user_id"),
+        double_to_bigint(F.col("_d_category_id")).alias("_c_category_id"),
+        "_c_price",
+        "_c_event_time",
+        reason.alias("reason"),
+    )
 
 
 def clean(raw: DataFrame) -> DataFrame:

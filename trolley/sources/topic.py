@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.functions.text import epoch_ms, has_time_shape, id_to_bigint, to_event_ts, trim_all
+from trolley.functions.text import (
+    epoch_ms,
+    has_time_shape,
+    id_to_bigint,
+    once,
+    to_event_ts,
+    trim_all,
+)
 from trolley.schema import TOPIC, WIRE_SCHEMA
 
 
@@ -21,28 +28,37 @@ def parse(lines: DataFrame) -> DataFrame:
     of arrival.
     """
     event = F.from_json("value", WIRE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
-    is_object = F.coalesce(trim_all(F.col("value")).startswith("{"), F.lit(False))
-    parsed = lines.withColumn("_event", event)
-    problem = F.when(~is_object, "not_an_object").when(
-        F.col("_event").isNull() | F.col("_event._corrupt").isNotNull(), "malformed_json"
-    )
     arrived = epoch_ms(F.col("timestamp")) if "timestamp" in lines.columns else F.lit(None).cast("bigint")
     order = F.col("offset") if "offset" in lines.columns else F.lit(None).cast("bigint")
-    return parsed.select(
+    is_object = trim_all(F.col("value")).startswith("{")
+    fields = lines.select(
         "value",
-        problem.alias("problem"),
-        F.col("_event.event_time").alias("event_time"),
-        F.col("_event.event_type").alias("event_type"),
-        F.col("_event.product_id").alias("product_id"),
-        F.col("_event.category_id").try_cast("bigint").alias("category_id"),
-        F.col("_event.price").try_cast("double").alias("price"),
-        id_to_bigint(F.col("_event.user_id")).alias("user_id"),
-        F.col("_event.user_session").alias("user_session"),
-        to_event_ts(F.col("_event.event_time")).alias("event_ts"),
-        has_time_shape(F.col("_event.event_time")).alias("time_ok"),
         arrived.alias("arrival_ms"),
         order.alias("ordinal"),
-    ).withColumn("event_ms", epoch_ms(F.col("event_ts")))
+        once([event.alias("_event"), F.coalesce(is_object, F.lit(False)).alias("_is_object")]),
+    )
+    problem = F.when(~F.col("_is_object"), "not_an_object").when(
+        F.col("_event").isNull() | F.col("_event._corrupt").isNotNull(), "malformed_json"
+    )
+    return (
+        fields.select(
+            "value",
+            problem.alias("problem"),
+            F.col("_event.event_time").alias("event_time"),
+            F.col("_event.event_type").alias("event_type"),
+            F.col("_event.product_id").alias("product_id"),
+            F.col("_event.category_id").try_cast("bigint").alias("category_id"),
+            # A bare NaN or Infinity comes out of the JSON reader in quotes.
+            F.btrim("_event.price", F.lit('"')).try_cast("double").alias("price"),
+            id_to_bigint(F.col("_event.user_id")).alias("user_id"),
+            F.col("_event.user_session").alias("user_session"),
+            to_event_ts(F.col("_event.event_time")).alias("event_ts"),
+            has_time_shape(F.col("_event.event_time")).alias("time_ok"),
+            "arrival_ms",
+            "ordinal",
+        )
+        .withColumn("event_ms", epoch_ms(F.col("event_ts")))
+    )
 
 
 def _lacks(needs: tuple[str, ...]):
