@@ -107,7 +107,16 @@ def test_a_batch_written_twice_counts_once(spark, tmp_path):
     write(rows, 0)
     write(rows, 0)
     write(rows, 1)
+    write(rows.limit(0), 2)
     assert tables.read_rows(spark, str(tmp_path), "abandonment_log").count() == 2
+    folders = [f.name for f in (tmp_path / "abandonment_log").iterdir() if f.is_dir()]
+    assert sorted(folders) == ["batch_id=0", "batch_id=1"]
+
+
+def test_a_table_without_rows_can_be_read(spark, tmp_path):
+    write = tables.batch_writer(str(tmp_path), "abandonment_log")
+    write(spark.createDataFrame([], "user_session string, fired_at timestamp"), 0)
+    assert tables.read_rows(spark, str(tmp_path), "abandonment_log").count() == 0
 
 
 @pytest.mark.parametrize("seed", [0, 1])
@@ -146,29 +155,34 @@ def test_a_cart_is_not_retracted(spark, tmp_path):
 
 
 def test_timers_by_arrival(spark, tmp_path):
-    """Timers of one second of wall-clock time fire in a later micro-batch."""
-    root, folder = tmp_path / "out", tmp_path / "in"
-
-    def send(name, *rows):
-        base = {"product_id": "p", "user_id": 1}
-        write_file(folder, name, [base | r for r in rows])
-        run(jobs.abandonment_log, spark, folder, root, clock="ingest", seconds=1)
-
-    send(
-        "0.json",
+    """Timers of two seconds of wall-clock time, while the job keeps running."""
+    root, folder = str(tmp_path / "out"), tmp_path / "in"
+    base = {"product_id": "p", "user_id": 1}
+    rows = [
         {"user_session": "left", "event_type": "cart", "event_time": at(0)},
         {"user_session": "left", "event_type": "cart", "event_time": at(3)},
         {"user_session": "bought", "event_type": "cart", "event_time": at(0)},
-        {"user_session": "bought", "event_type": "purchase", "event_time": at(1)},
+        {"user_session": "bought", "event_type": "purchase", "event_time": at(2)},
         {"user_session": "late", "event_type": "cart", "event_time": at(0)},
-        {"user_session": "late", "event_type": "purchase", "event_time": at(2)},
+        {"user_session": "late", "event_type": "purchase", "event_time": at(3)},
         {"user_session": "badcart", "event_type": "cart", "event_time": "2020-02-30 00:00:00"},
         {"user_session": "badbuy", "event_type": "cart", "event_time": at(0)},
         {"user_session": "badbuy", "event_type": "purchase", "event_time": "2020-02-30 00:00:00"},
-    )
-    time.sleep(1.5)
-    send("1.json", {"user_session": "other", "event_type": "purchase", "event_time": at(0)})
-    log = tables.read_rows(spark, str(root), "abandonment_log")
+    ]
+    write_file(folder, "0.json", [base | r for r in rows])
+    tables.reset(spark, root, ("abandonment_log",))
+    query = jobs.abandonment_log(events_from(spark, folder), root, clock="ingest", seconds=2)
+    try:
+        deadline, found = time.time() + 60, []
+        while time.time() < deadline and len(found) < 3:
+            assert query.exception() is None
+            time.sleep(1)
+            log = tables.read_rows(spark, root, "abandonment_log")
+            found = sorted(r.user_session for r in log.collect())
+        time.sleep(2)
+    finally:
+        query.stop()
+    log = tables.read_rows(spark, root, "abandonment_log")
     assert sorted(r.user_session for r in log.collect()) == ["badbuy", "late", "left"]
 
 

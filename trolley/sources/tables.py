@@ -1,4 +1,4 @@
-"""Result tables: one folder per table, one sub-folder per micro-batch.
+"""Result tables: one folder per table, one sub-folder per micro-batch that has rows.
 
 Writing a micro-batch again replaces its own folder only, so a restart never counts twice. Tables
 that a running total keeps up to date hold several versions of a key; the newest batch wins.
@@ -28,8 +28,13 @@ def batch_writer(root: str, name: str) -> Callable[[DataFrame, int], None]:
     columns = _schema(name).names
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{table_path(root, name)}/batch_id={batch_id}"
-        batch.select(*columns).write.mode("overwrite").parquet(folder)
+        (
+            batch.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(table_path(root, name))
+        )
 
     return write
 

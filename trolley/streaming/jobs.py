@@ -95,11 +95,16 @@ def user_product(events: DataFrame, root: str, **run) -> StreamingQuery:
 def abandonment_log(
     events: DataFrame, root: str, clock: str = "event", seconds: int = ABANDON_AFTER_SECONDS, **run
 ) -> StreamingQuery:
-    """Abandoned firings, by event time or by arrival (``clock="ingest"``)."""
+    """Abandoned firings, by event time or by arrival (``clock="ingest"``).
+
+    Arrival timers are always waiting for the time to pass, so that job never runs out of things
+    to do: it takes an interval (one second by default) and runs until it is stopped.
+    """
     if clock == "event":
         frame = timers.abandonment_by_event_time(events, seconds)
     else:
         frame = timers.abandonment_by_arrival(events, seconds)
+        run.setdefault("interval", "1 second")
     return start(frame, root, "abandonment_log", "append", **run)
 
 
