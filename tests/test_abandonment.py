@@ -157,6 +157,26 @@ def test_against_row_by_row_replay(spark, seed):
         assert {r.user_session: r.products for r in carts.collect()} == lists
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_recorded_arrivals_with_ties(spark, seed):
+    """Many rows in one millisecond: the order of arrival decides, timers of an instant are one."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(300):
+        kind = rng.choice(["cart", "cart", "purchase"])
+        session = rng.choice(["hot", "hot", "a", "b", f"s{i % 20}"])
+        rows.append(ev(session, kind, rng.randrange(0, 300), arrival=i // 6 * 3, product=f"p{i % 9}"))
+    log, lists = replayed(rows)
+    events = make_events(spark, rows)
+    for stretch, crowd in ((ab.HOUR_MS, ab.CROWD), (ab.HOUR_MS, 5), (10_000, 3), (1, ab.CROWD)):
+        fired = ab.abandonment_log(ab.firings(events, "arrival", stretch_ms=stretch))
+        got = fired.select("user_session", F.unix_millis(F.col("fired_at").cast("timestamp")))
+        assert sorted(tuple(r) for r in got.collect()) == sorted(set(log))
+        items = ab.cart_items(events, "arrival")
+        carts = ab.abandoned_carts(items, fired, stretch, crowd=crowd)
+        assert {r.user_session: r.products for r in carts.collect()} == lists
+
+
 @pytest.mark.parametrize("stretch", [ab.HOUR_MS, 30_000, 999])
 def test_event_clock_is_first_purchase_by_then(spark, stretch):
     rng = random.Random(5)

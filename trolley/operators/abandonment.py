@@ -21,11 +21,19 @@ UNPARSED = -(2**63)
 DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
-# Arrival column and stretch length per clock. Rows are combined per session and millisecond (or
-# come 200 ms apart on the replay clock), so a stretch of one session has a bounded row count.
-CLOCKS = {"replay": ("arrival_ms", DAY_MS), "event": ("event_ms", HOUR_MS)}
-
+# Time column and stretch length per clock: the producer's own pace, the recorded arrival times or
+# the event times. Rows are combined per session and millisecond (or come 200 ms apart on the
+# replay clock), so a stretch of one session has a bounded row count.
+CLOCKS = {
+    "replay": ("arrival_ms", DAY_MS),
+    "arrival": ("arrival_ms", HOUR_MS),
+    "event": ("event_ms", HOUR_MS),
+}
+
+# Most items of one list in a row, and most items of one session and stretch numbered together.
 CHUNK = 1000
+CROWD = 1_000_000
+SECOND_MS = 1000
 
 
 def time_code(event_ts: Column) -> Column:
@@ -51,7 +59,7 @@ def tracked(events: DataFrame, at: str) -> DataFrame:
 
 
 def _stretch(at: str, stretch_ms: int) -> Column:
-    return F.expr(f"{at} div {stretch_ms}").alias("stretch")
+    return F.expr(f"{at} div {stretch_ms} * {stretch_ms}").alias("stretch")
 
 
 def decide(last_cart: Column, last_purchase: Column, seconds: int) -> Column:
@@ -198,16 +206,45 @@ def cart_items(events: DataFrame, clock: str = "replay") -> DataFrame:
     )
 
 
+def _numbering_stretches(items: DataFrame, stretch_ms: int, crowd: int) -> DataFrame:
+    """Add ``stretch``: the usual one, or single seconds where a session crowds it.
+
+    Only stretches with more than ``crowd`` items are listed for the join, so the list is at most
+    one line per ``crowd`` items of the whole table: small enough to broadcast.
+    """
+    usual = items.select("*", _stretch("at_ms", stretch_ms))
+    crowded = (
+        usual.groupBy("user_session", "stretch")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > crowd)
+        .select("user_session", "stretch", F.lit(True).alias("crowded"))
+    )
+    return (
+        usual.join(F.broadcast(crowded), ["user_session", "stretch"], "left")
+        .withColumn(
+            "stretch", F.when(F.col("crowded"), _stretch("at_ms", SECOND_MS)).otherwise(F.col("stretch"))
+        )
+        .drop("crowded")
+    )
+
+
 def abandoned_carts(
-    items: DataFrame, log: DataFrame, stretch_ms: int = DAY_MS, chunk: int = CHUNK
+    items: DataFrame,
+    log: DataFrame,
+    stretch_ms: int = DAY_MS,
+    chunk: int = CHUNK,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """Product lists of abandoned sessions as of their last abandoned firing, newest first.
 
     A list holds every cart product of the session so far, duplicates included. Long lists come
     as several rows: ``chunk`` 0 has the oldest items, higher ones the newer, none more than
     ``chunk`` items, so a list of any length is whole and no task collects more than that.
+
+    Items are numbered within their stretch; a table with one line per session and stretch adds
+    how many came before.
     """
-    items = items.select("*", _stretch("at_ms", stretch_ms))
+    items = _numbering_stretches(items, stretch_ms, crowd)
     last_fired = log.groupBy("user_session").agg(
         F.unix_millis(F.max("fired_at").cast("timestamp")).alias("fired_ms")
     )
@@ -237,9 +274,7 @@ def abandoned_carts(
             (F.col("older") + F.row_number().over(here) - 1).alias("place"),
         )
     )
-    newest_first = F.sort_array(
-        F.collect_list(F.struct("place", "product_id")), asc=False
-    )
+    newest_first = F.sort_array(F.collect_list(F.struct("place", "product_id")), asc=False)
     return (
         placed.groupBy("user_session", F.floor(F.col("place") / chunk).alias("chunk"))
         .agg(newest_first.alias("list"))

@@ -115,7 +115,7 @@ def cart_items(events: DataFrame, root: str, clock: str = "event", **run) -> Str
     else:
         now_ms = F.unix_millis(F.current_timestamp())
         arrived = events.withColumn("arrival_ms", F.coalesce("arrival_ms", now_ms))
-        frame = abandonment.cart_items(arrived, "replay")
+        frame = abandonment.cart_items(arrived, "arrival")
     return start(frame, root, "cart_items", "append", **run)
 
 
