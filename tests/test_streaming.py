@@ -80,6 +80,9 @@ def test_windows_equal_batch(spark, tmp_path, seed):
         run(job, spark, folder, tmp_path / "out")
         table = tables.read_rows(spark, str(tmp_path / "out"), name)
         assert plain(table) == plain(twin(batch, "event_ts"))
+    for read, kind in ((dashboard.top_purchased, "purchase"), (dashboard.top_removed, "remove_from_cart")):
+        latest = windows.latest_counts(batch, kind, "event_ts", "1 second")
+        assert plain(read(spark, str(tmp_path / "out"))) == plain(ranking.top_products(latest))
 
 
 def test_running_totals_equal_batch_and_survive_a_restart(spark, tmp_path):

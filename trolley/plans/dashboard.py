@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import abandonment, affinity, ranking, windows
+from trolley.operators import abandonment, affinity, ranking
 from trolley.schema import MIN_VIEWS, PAGE_SIZE
 from trolley.sources.tables import read_latest, read_rows
 
 
 def top_purchased(spark: SparkSession, root: str) -> DataFrame:
-    return ranking.top_products(windows.latest_of(read_rows(spark, root, "purchase_windows")))
+    return ranking.top_products(read_latest(spark, root, "latest_purchases", ["product_id"]))
 
 
 def top_removed(spark: SparkSession, root: str) -> DataFrame:
-    return ranking.top_products(windows.latest_of(read_rows(spark, root, "removal_windows")))
+    return ranking.top_products(read_latest(spark, root, "latest_removals", ["product_id"]))
 
 
 def top_users(spark: SparkSession, root: str) -> DataFrame:

@@ -55,6 +55,8 @@ WIRE_SCHEMA = T.StructType(
 RESULT_SCHEMAS = {
     "purchase_windows": "product_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, cnt BIGINT",
     "removal_windows": "product_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, cnt BIGINT",
+    "latest_purchases": "product_id STRING, window_start TIMESTAMP, cnt BIGINT",
+    "latest_removals": "product_id STRING, window_start TIMESTAMP, cnt BIGINT",
     "user_product": "user_id BIGINT, product_id STRING, views BIGINT, added BOOLEAN",
     "user_activity": (
         "user_id BIGINT, score BIGINT, views BIGINT, cart_adds BIGINT, purchases BIGINT, "

@@ -23,18 +23,31 @@ def _schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(RESULT_SCHEMAS[name])
 
 
-def batch_writer(root: str, name: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function for the table."""
-    columns = _schema(name).names
+def _write(rows: DataFrame, batch_id: int, root: str, name: str) -> None:
+    (
+        rows.select(*_schema(name).names, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(table_path(root, name))
+    )
+
+
+def batch_writer(
+    root: str, name: str, derived: dict[str, Callable[[DataFrame], DataFrame]] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for the table, and for tables worked out from the same rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(table_path(root, name))
-        )
+        if not derived:
+            return _write(batch, batch_id, root, name)
+        batch.persist()
+        try:
+            _write(batch, batch_id, root, name)
+            for other, reduce in derived.items():
+                _write(reduce(batch), batch_id, root, other)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -86,4 +99,4 @@ def compact(
     if keys:
         # Sorted by key so that a lookup by key skips row groups.
         current = current.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    batch_writer(into, name)(current, 0 if last is None else last)
+    _write(current, 0 if last is None else last, into, name)

@@ -35,9 +35,12 @@ def start(
     mode: str,
     interval: str | None = None,
     checkpoints: str | None = None,
+    derived: dict | None = None,
 ) -> StreamingQuery:
     """Run ``frame`` into the table ``name``: all there is and stop, or every ``interval``.
 
+    ``derived`` names further tables and how their rows follow from a micro-batch.
+
     The number of state partitions is fixed by the session's shuffle partitions at the first
     start of a checkpoint; choose it for the largest state expected.
     """
@@ -47,7 +50,7 @@ def start(
         frame.writeStream.queryName(name)
         .outputMode(mode)
         .option("checkpointLocation", f"{checkpoints or root + '/_checkpoints'}/{name}")
-        .foreachBatch(tables.batch_writer(root, name))
+        .foreachBatch(tables.batch_writer(root, name, derived))
         .trigger(**trigger)
         .start()
     )
@@ -66,9 +69,14 @@ def purchase_windows(
     delay: str = WATERMARK_DELAY,
     **run,
 ) -> StreamingQuery:
-    """Closed windows are appended once; ``time_col="arrival_ts"`` goes by arrival."""
+    """Closed windows are appended once; ``time_col="arrival_ts"`` goes by arrival.
+
+    The latest window per product is kept in a table of its own, which the top list reads. Windows
+    close in time order, so a product's newest micro-batch holds its latest window.
+    """
     frame = _windows(events, PURCHASE, time_col, window, delay)
-    return start(frame, root, "purchase_windows", "append", **run)
+    derived = {"latest_purchases": windows.latest_of}
+    return start(frame, root, "purchase_windows", "append", derived=derived, **run)
 
 
 def removal_windows(
@@ -79,8 +87,10 @@ def removal_windows(
     delay: str = WATERMARK_DELAY,
     **run,
 ) -> StreamingQuery:
+    """The same for products removed from carts."""
     frame = _windows(events, REMOVE, time_col, window, delay)
-    return start(frame, root, "removal_windows", "append", **run)
+    derived = {"latest_removals": windows.latest_of}
+    return start(frame, root, "removal_windows", "append", derived=derived, **run)
 
 
 def user_activity(events: DataFrame, root: str, **run) -> StreamingQuery:

@@ -86,16 +86,16 @@ class EventClockTimers(StatefulProcessor):
         self.first_purchase = handle.getValueState("first_purchase", "ms long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.first_purchase.get()
-        before = known[0] if known else None
-        first = before
+        first = None
         for row in rows:
             if row.is_cart:
                 self.handle.registerTimer(row.at_ms + self.wait_ms)
             elif first is None or row.first_ms < first:
                 first = row.first_ms
-        if first != before:
-            self.first_purchase.update((first,))
+        if first is not None:
+            known = self.first_purchase.get()
+            if known is None or first < known[0]:
+                self.first_purchase.update((first,))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
