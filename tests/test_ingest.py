@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from helpers import tuples
 from pyspark.sql import functions as F
 
@@ -69,6 +70,20 @@ def test_odd_values_that_are_kept(spark, tmp_path):
     assert rows[0]["price"] == float("inf")
 
 
+def test_rows_longer_than_the_header_and_line_breaks(spark, tmp_path):
+    raw = csv(spark, tmp_path, GOOD + ",extra", GOOD.replace("p1", '"p\n2"'))
+    assert [r.product_id for r in cleaning.clean(raw).collect()] == ["p1"]
+    whole = raw_csv.read_raw_csv(spark, str(tmp_path), multi_line=True)
+    assert sorted(r.product_id for r in cleaning.clean(whole).collect()) == ["p\n2", "p1"]
+
+
+def test_a_file_with_other_columns_is_an_error(spark, tmp_path):
+    csv(spark, tmp_path, GOOD)
+    (tmp_path / "other.csv").write_text("event_type,event_time\nview,2020-01-01 00:00:00\n")
+    with pytest.raises(Exception, match="header"):
+        raw_csv.read_raw_csv(spark, str(tmp_path), HEADER.split(",")).collect()
+
+
 def test_a_missing_column_rejects_every_row(spark):
     raw = spark.createDataFrame([("1", "2", "3")], "user_id string, category_id string, price string")
     assert [r["reason"] for r in cleaning.rejected(raw).collect()] == ["missing_event_time"]

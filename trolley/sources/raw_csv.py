@@ -12,6 +12,7 @@ SHORT_ROW = "_short"
 def _options(multi_line: bool) -> dict[str, str]:
     return {
         "header": "true",
+        "enforceSchema": "false",  # a file with other columns is an error, not misread
         "mode": "PERMISSIVE",
         "quote": '"',
         "escape": '"',
