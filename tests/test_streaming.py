@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
 from trolley.plans import dashboard
 from trolley.sources import raw_csv, tables, topic
-from trolley.streaming import jobs
+from trolley.streaming import jobs, timers
 
 KINDS = ["view", "cart", "purchase", "remove_from_cart", "signup"]
 # Far ahead of everything else, of a kind that counts, so that all windows and timers close.
@@ -85,6 +85,21 @@ def test_windows_equal_batch(spark, tmp_path, seed):
         assert plain(read(spark, str(tmp_path / "out"))) == plain(ranking.top_products(latest))
 
 
+def test_windows_by_arrival(spark, tmp_path):
+    """All purchases of a micro-batch arrive at once; their windows close when time has passed."""
+    root = tmp_path / "out"
+    buys = [{"event_type": "purchase", "product_id": "a", "user_id": 1}] * 5
+    write_file(tmp_path / "in", "0.json", buys)
+    how = {"time_col": "arrival_ts", "delay": "0 seconds"}
+    run(jobs.purchase_windows, spark, tmp_path / "in", root, **how)
+    time.sleep(4)
+    write_file(tmp_path / "in", "1.json", buys)
+    run(jobs.purchase_windows, spark, tmp_path / "in", root, **how)
+    rows = tables.read_rows(spark, str(root), "purchase_windows").collect()
+    assert [(r.product_id, r.cnt) for r in rows] == [("a", 5)] * 3
+    assert {(r.window_end - r.window_start).seconds for r in rows} == {3}
+
+
 def test_running_totals_equal_batch_and_survive_a_restart(spark, tmp_path):
     rows = shop(1)
     write_file(tmp_path / "in", "0.json", rows[:100])
@@ -122,6 +137,18 @@ def test_a_table_without_rows_can_be_read(spark, tmp_path):
     assert tables.read_rows(spark, str(tmp_path), "abandonment_log").count() == 0
 
 
+@pytest.mark.parametrize("spread", [1, 3])
+def test_abandonment_of_a_busy_session(spark, tmp_path, spread):
+    """Half of all rows are one session's; its timers are dealt out and still decide alike."""
+    rows = [r | {"user_session": "busy"} if i % 2 else r for i, r in enumerate(shop(1, 300))]
+    folder = in_parts(tmp_path, rows, 2)
+    frame = timers.abandonment_by_event_time(events_from(spark, folder), spread=spread)
+    root = str(tmp_path / "out")
+    jobs.start(frame, root, "abandonment_log", "append").awaitTermination()
+    log = abandonment.abandonment_log(abandonment.firings(make_events(spark, rows), "event"))
+    assert plain(tables.read_rows(spark, root, "abandonment_log")) == plain(log)
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_abandonment_equals_batch(spark, tmp_path, seed):
     rows = shop(seed, 400)
