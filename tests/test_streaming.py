@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
 from trolley.plans import dashboard
 from trolley.sources import raw_csv, tables, topic
-from trolley.streaming import jobs, timers
+from trolley.streaming import jobs
 
 KINDS = ["view", "cart", "purchase", "remove_from_cart", "signup"]
 # Far ahead of everything else, of a kind that counts, so that all windows and timers close.
@@ -137,14 +137,12 @@ def test_a_table_without_rows_can_be_read(spark, tmp_path):
     assert tables.read_rows(spark, str(tmp_path), "abandonment_log").count() == 0
 
 
-@pytest.mark.parametrize("spread", [1, 3])
-def test_abandonment_of_a_busy_session(spark, tmp_path, spread):
-    """Half of all rows are one session's; its timers are dealt out and still decide alike."""
+def test_abandonment_of_a_busy_session(spark, tmp_path):
+    """Half of all rows are one session's."""
     rows = [r | {"user_session": "busy"} if i % 2 else r for i, r in enumerate(shop(1, 300))]
     folder = in_parts(tmp_path, rows, 2)
-    frame = timers.abandonment_by_event_time(events_from(spark, folder), spread=spread)
     root = str(tmp_path / "out")
-    jobs.start(frame, root, "abandonment_log", "append").awaitTermination()
+    run(jobs.abandonment_log, spark, folder, root)
     log = abandonment.abandonment_log(abandonment.firings(make_events(spark, rows), "event"))
     assert plain(tables.read_rows(spark, root, "abandonment_log")) == plain(log)
 

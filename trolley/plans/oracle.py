@@ -262,8 +262,12 @@ FROM ({_closed_windows(kind, stored, size_s)}) GROUP BY product_id
 ORDER BY cnt DESC, product_id LIMIT 25"""
 
 
+# Cart marks lie 60 s after their events, and the watermark waits 60 s longer.
 CLOSED_LOG = f"""
-SELECT * FROM ({_log('event_ms')}) WHERE fired_at <= {_closed("'click', 'purchase'")}"""
+SELECT * FROM ({_log('event_ms')}) WHERE fired_at <= (
+  SELECT make_timestamp(max(epoch_us(ts) // 1000 * 1000 + CASE event_type WHEN 'click' THEN 60000000 ELSE 0 END))
+         - INTERVAL 11 MINUTES
+  FROM events WHERE event_type IN ('click', 'purchase'))"""
 
 LIVE_PAGE = f"""
 WITH {EVENTS},

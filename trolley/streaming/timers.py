@@ -1,7 +1,7 @@
 """Cart timers on streams, per session, with state of fixed size.
 
-Rows are combined inside each task before they are shuffled to their session, so a busy session
-costs a few rows per Arrow batch, not all of its rows.
+Rows are combined before they are shuffled to their session, so a busy session costs a few rows
+per task and millisecond, not all of its rows.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,37 +23,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FIRED = "user_session string, fired_ms long"
 
-# Sub-keys a session's timers are dealt out to on the event clock. Each gets the session's
-# purchases, so without busy sessions 1 is less work; with one, it would be a single task.
-SPREAD = 8
-
 _NOT_A_TIME = UNPARSED
 
 
-def _carts_and_purchase_span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: distinct cart times, and the first and last purchase time per session."""
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        is_cart = rows["is_cart"]
-        carts = rows.filter(is_cart).group_by(["user_session", "at_ms"]).aggregate([])
-        spans = (
-            rows.filter(pc.invert(is_cart))
-            .group_by("user_session")
-            .aggregate([("at_ms", "min"), ("at_ms", "max")])
-        )
-        for part, at, first, flag in (
-            (carts, "at_ms", "at_ms", True),
-            (spans, "at_ms_max", "at_ms_min", False),
-        ):
-            columns = {
-                "user_session": part["user_session"],
-                "at_ms": part[at],
-                "first_ms": part[first],
-                "is_cart": pa.array([flag] * part.num_rows, pa.bool_()),
-            }
-            yield from pa.table(columns).to_batches()
-
-
 def _last_per_session(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch: the last cart and the last purchase of each session, by arrival."""
     for batch in batches:
@@ -72,38 +43,29 @@ def _last_per_session(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield from pa.table(columns).to_batches()
 
 
-class EventClockTimers(StatefulProcessor):
-    """Fires ``wait_ms`` of event time after each cart, unless a purchase came by then.
+class Unbought(StatefulProcessor):
+    """Passes on the due carts of a session that has no purchase yet.
 
-    On this clock a purchase known to the timer is never later than the timer, and the last cart
-    never earlier than the timer's own, so the first purchase time decides.
+    Rows come in the order of event time, so the state is only whether a purchase has passed.
     """
 
-    def __init__(self, wait_ms: int):
-        self.wait_ms = wait_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.first_purchase = handle.getValueState("first_purchase", "ms long")
+        self.purchase = handle.getValueState("purchase", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first = None
+        if self.purchase.exists():
+            return
+        due, first = [], None
         for row in rows:
-            if row.is_cart:
-                self.handle.registerTimer(row.at_ms + self.wait_ms)
-            elif first is None or row.first_ms < first:
-                first = row.first_ms
+            if row.bought and (first is None or row.mark < first):
+                first = row.mark
+            if row.due and (first is None or row.mark < first):
+                due.append(row.mark)
         if first is not None:
-            known = self.first_purchase.get()
-            if known is None or first < known[0]:
-                self.first_purchase.update((first,))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        fired_ms = expiredTimerInfo.getExpiryTimeInMs()
-        known = self.first_purchase.get()
-        if known is None or known[0] > fired_ms:
-            yield Row(user_session=key[0], fired_ms=fired_ms)
+            self.purchase.update((True,))
+        for mark in due:
+            if first is None or mark < first:
+                yield Row(user_session=key[0], fired_at=mark)
 
     def close(self) -> None:
         pass
@@ -149,36 +111,30 @@ class IngestClockTimers(StatefulProcessor):
         pass
 
 
-def _as_log(fired: DataFrame) -> DataFrame:
-    return fired.select("user_session", F.timestamp_millis("fired_ms").alias("fired_at"))
-
-
 def abandonment_by_event_time(
-    events: DataFrame,
-    seconds: int = ABANDON_AFTER_SECONDS,
-    delay: str = WATERMARK_DELAY,
-    spread: int = SPREAD,
+    events: DataFrame, seconds: int = ABANDON_AFTER_SECONDS, delay: str = WATERMARK_DELAY
 ) -> DataFrame:
     """The abandonment log of a stream on the event clock; equals the batch log of that clock.
 
-    A session's timers are dealt out to ``spread`` sub-keys by cart time, each of which gets the
-    session's purchases (already combined per task).
+    A cart marks the time its timer is due, a purchase its own time. An aggregate per session and
+    mark holds the marks back until the watermark has passed them: that is the timer, it makes
+    equal timers one, and its key spreads a busy session. What comes out is in time order, and a
+    cart that comes due before its session's first purchase is abandoned. (On this clock a purchase
+    known to a timer is never later than the timer, and the last cart never earlier than the
+    timer's own, so nothing else can decide.)
     """
-    rows = tracked(events, "event_ms").select("user_session", "at_ms", "is_cart")
-    combined = rows.mapInArrow(
-        _carts_and_purchase_span, "user_session string, at_ms long, first_ms long, is_cart boolean"
+    rows = tracked(events, "event_ms")
+    wait_ms = F.when(F.col("is_cart"), F.lit(seconds * 1000)).otherwise(F.lit(0))
+    marks = (
+        rows.select("user_session", "is_cart", F.timestamp_millis(F.col("at_ms") + wait_ms).alias("mark"))
+        # Marks of carts run ahead of their events, so the watermark waits that much longer.
+        .withWatermark("mark", f"{delay} {seconds} seconds")
+        .groupBy("user_session", "mark")
+        .agg(F.bool_or("is_cart").alias("due"), F.bool_or(~F.col("is_cart")).alias("bought"))
     )
-    own = F.array(F.pmod(F.xxhash64("at_ms"), F.lit(spread)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(spread - 1))
-    keyed = (
-        combined.withColumn("at", F.timestamp_millis("at_ms"))
-        .withWatermark("at", delay)
-        .withColumn("part", F.explode(F.when(F.col("is_cart"), own).otherwise(every)))
+    return marks.groupBy("user_session").transformWithState(
+        Unbought(), "user_session string, fired_at timestamp", "Append", "None"
     )
-    fired = keyed.groupBy("user_session", "part").transformWithState(
-        EventClockTimers(seconds * 1000), FIRED, "Append", "EventTime"
-    )
-    return _as_log(fired)
 
 
 def abandonment_by_arrival(events: DataFrame, seconds: int = ABANDON_AFTER_SECONDS) -> DataFrame:
@@ -198,4 +154,4 @@ def abandonment_by_arrival(events: DataFrame, seconds: int = ABANDON_AFTER_SECON
     fired = combined.groupBy("user_session").transformWithState(
         IngestClockTimers(seconds * 1000), FIRED, "Append", "ProcessingTime"
     )
-    return _as_log(fired)
+    return fired.select("user_session", F.timestamp_millis("fired_ms").alias("fired_at"))
