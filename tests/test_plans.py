@@ -1,12 +1,15 @@
 """What the plans must look like to hold at scale."""
 
 import re
+from datetime import datetime
 
 import oracle
 import pytest
 
 from trolley.operators import abandonment, activity, affinity, ranking, windows
+from trolley.plans import dashboard
 from trolley.plans.catalog import QUERIES
+from trolley.sources import tables
 from trolley.sources.event_table import shopping_events
 
 SMALL = f"{oracle.DATA}/sf0.001"
@@ -42,6 +45,15 @@ def test_one_user_is_filtered_in_the_scan(spark):
     assert "EqualTo(user_id,15)" in text
 
 
+def test_reads_of_kept_tables_filter_in_the_scan(spark, tmp_path):
+    tables.reset(spark, str(tmp_path), ("user_product", "abandonment_log"))
+    text = dashboard.unconverted_for_user(spark, str(tmp_path), 15)._jdf.queryExecution().toString()
+    assert "EqualTo(user_id,15)" in text
+    log = tables.read_rows(spark, str(tmp_path), "abandonment_log")
+    text = ranking.page_after(log, datetime(2024, 1, 1), "s")._jdf.queryExecution().toString()
+    assert "LessThanOrEqual(fired_at," in text and "TakeOrderedAndProject" in text
+
+
 @pytest.mark.parametrize(
     "make",
     [

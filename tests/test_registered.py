@@ -65,3 +65,11 @@ def test_expected_outcomes(spark):
     final = QUERIES["abandonment_final"](spark, folder)
     assert (final.count(), final.where("abandoned").count()) == (1601, 1299)
     assert QUERIES["abandoned_carts"](spark, folder).count() == 1300
+
+
+def test_expected_rankings(spark):
+    folder = f"{oracle.DATA}/sf0.01"
+    top = QUERIES["top_users"](spark, folder).select("user_id", "score").take(3)
+    assert [tuple(r) for r in top] == [(20, 144), (30, 135), (41, 131)]
+    sizes = {"user_product": 3493, "unconverted_views": 3, "unconverted_views_min2": 110}
+    assert {n: QUERIES[n](spark, folder).count() for n in sizes} == sizes

@@ -18,6 +18,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
+    # A commit uploads the changes of a micro-batch, not the whole state.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark
 
 
