@@ -102,7 +102,7 @@ def test_list_stops_at_the_last_abandoned_firing(spark):
     events = make_events(spark, rows)
     log = ab.abandonment_log(ab.firings(events))
     assert log.count() == 1  # the timers at 110 and 160 know the purchase
-    for stretch in (ab.DAY_MS, 40_000, 7_000):
+    for stretch in (24 * ab.HOUR_MS, 40_000, 7_000):
         carts = ab.abandoned_carts(ab.cart_items(events), log, stretch)
         assert [tuple(r) for r in carts.collect()] == [("s", 0, ["p2", "p1"])]
 
@@ -149,7 +149,7 @@ def test_against_row_by_row_replay(spark, seed):
         rows.append(ev(session, kind, rng.randrange(0, 300), arrival=i * 0.2, product=f"p{i % 9}"))
     log, lists = replayed(rows)
     events = make_events(spark, rows)
-    for stretch in (ab.DAY_MS, 61_000, 5_000, 300):
+    for stretch in (24 * ab.HOUR_MS, 61_000, 5_000, 300):
         fired = ab.abandonment_log(ab.firings(events, stretch_ms=stretch))
         got = fired.select("user_session", F.unix_millis(F.col("fired_at").cast("timestamp")))
         assert sorted(tuple(r) for r in got.collect()) == log

@@ -4,13 +4,14 @@ import json
 import random
 import time
 
+import oracle
 import pytest
 from helpers import at, make_events, tuples
 from pyspark.sql import functions as F
 
 from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
 from trolley.plans import dashboard
-from trolley.sources import raw_csv, tables, topic
+from trolley.sources import event_table, raw_csv, tables, topic
 from trolley.streaming import jobs
 
 KINDS = ["view", "cart", "purchase", "remove_from_cart", "signup"]
@@ -169,6 +170,18 @@ def test_abandonment_equals_batch(spark, tmp_path, seed):
     assert dashboard.abandoned_pages(spark, root).first().entries == log.count()
 
 
+def test_the_events_table_may_be_a_folder(spark, tmp_path):
+    table = event_table.read_table(spark, f"{oracle.DATA}/sf0.001")
+    table.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    counts = []
+    for folder in (f"{oracle.DATA}/sf0.001", str(tmp_path)):
+        events = event_table.as_shopping_events(event_table.read_table_stream(spark, folder))
+        root = str(tmp_path / f"out{len(counts)}")
+        jobs.user_activity(events, root).awaitTermination()
+        counts.append(plain(tables.read_rows(spark, root, "user_activity")))
+    assert counts[0] == counts[1] and len(counts[0]) == 15
+
+
 def test_a_cart_is_not_retracted(spark, tmp_path):
     """A purchase after the firing, in a later run, changes nothing."""
     root = tmp_path / "out"

@@ -18,14 +18,13 @@ from trolley.schema import ABANDON_AFTER_SECONDS, CART, PURCHASE
 # Marks a time text that has the right shape but is no real time.
 UNPARSED = -(2**63)
 
-DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 # Time column and stretch length per clock: the producer's own pace, the recorded arrival times or
 # the event times. Rows are combined per session and millisecond (or come 200 ms apart on the
 # replay clock), so a stretch of one session has a bounded row count.
 CLOCKS = {
-    "replay": ("arrival_ms", DAY_MS),
+    "replay": ("arrival_ms", 6 * HOUR_MS),
     "arrival": ("arrival_ms", HOUR_MS),
     "event": ("event_ms", HOUR_MS),
 }
@@ -231,7 +230,7 @@ def _numbering_stretches(items: DataFrame, stretch_ms: int, crowd: int) -> DataF
 def abandoned_carts(
     items: DataFrame,
     log: DataFrame,
-    stretch_ms: int = DAY_MS,
+    stretch_ms: int = HOUR_MS,
     chunk: int = CHUNK,
     crowd: int = CROWD,
 ) -> DataFrame:

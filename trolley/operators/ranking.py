@@ -38,7 +38,7 @@ def page(log: DataFrame, number: int = 0, size: int = PAGE_SIZE, near: int = NEA
 
     A page far from the top is found by counting rows per day, then per second, then per
     millisecond, and keeping only the slices the page lies in: the sort never sees what comes
-    before, however deep the page is.
+    before, however deep the page is. Each of those steps reads the log, so give it a written one.
     """
     skip = number * size
     for width in (DAY_MS, SECOND_MS, 1):
@@ -80,12 +80,14 @@ def page_after(
     )
 
 
-def with_products(entries: DataFrame, carts: DataFrame) -> DataFrame:
-    """Join a page of the log to the product lists; sessions without one are skipped.
+def page_side(df: DataFrame, size: int) -> DataFrame:
+    """Mark a frame of at most ``size`` rows for broadcast, if that is few."""
+    return F.broadcast(df) if size <= NEAR else df
 
-    A page has ``size`` rows at most, so it is the side to broadcast.
-    """
-    return carts.join(F.broadcast(entries), "user_session").select(
+
+def with_products(entries: DataFrame, carts: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
+    """Join a page of the log to the product lists; sessions without one are skipped."""
+    return carts.join(page_side(entries, size), "user_session").select(
         "user_session",
         "fired_at",
         "chunk",

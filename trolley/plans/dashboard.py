@@ -42,16 +42,16 @@ def page_with_lists(
 ) -> DataFrame:
     """A page of the log with the product lists, built for the sessions on the page only.
 
-    A page has ``size`` rows, so its sessions are broadcast to both tables.
+    A page has ``size`` rows at most, so its sessions are the side to broadcast to both tables.
     """
     entries = ranking.page(log, number, size, near)
-    sessions = F.broadcast(entries.select("user_session").distinct())
+    sessions = ranking.page_side(entries.select("user_session").distinct(), size)
     lists = abandonment.abandoned_carts(
         items.join(sessions, "user_session", "left_semi"),
         log.join(sessions, "user_session", "left_semi"),
         stretch_ms,
     )
-    return ranking.with_products(entries, lists)
+    return ranking.with_products(entries, lists, size)
 
 
 def abandoned_page(spark: SparkSession, root: str, number: int = 0, size: int = PAGE_SIZE) -> DataFrame:

@@ -25,14 +25,20 @@ def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def read_table_stream(spark: SparkSession, folder: str, files: str = "events.parquet") -> DataFrame:
-    """The table as a stream of its files, one per micro-batch."""
-    return (
-        spark.readStream.schema(TABLE_SCHEMA)
-        .option("pathGlobFilter", files)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(folder)
-    )
+def read_table_stream(
+    spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """The table as a stream of its files: all at once, or so many per micro-batch.
+
+    The table may be one file or a folder of files.
+    """
+    reader = spark.readStream.schema(TABLE_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    stored = read_table(spark, sf_dir).inputFiles()
+    if len(stored) == 1 and stored[0].endswith("/events.parquet"):
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.parquet(f"{sf_dir}/events.parquet")
 
 
 # Types of the table that stand for other shopping events.
