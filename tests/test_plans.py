@@ -85,6 +85,15 @@ def test_timers_read_and_shuffle_the_events_once(spark, clock):
     assert "ReusedExchange" in text
 
 
+def test_lists_read_and_shuffle_the_items_once(spark, tmp_path):
+    log = abandonment.abandonment_log(abandonment.firings(shopping_events(spark, SMALL), "event"))
+    log.write.parquet(str(tmp_path / "log"))
+    items = abandonment.cart_items(shopping_events(spark, SMALL, ("cart",)), "event")
+    lists = abandonment.abandoned_carts(items, spark.read.parquet(str(tmp_path / "log")))
+    text = final_plan(lists)
+    assert text.count("FileScan") == 2 and "ReusedExchange" in text
+
+
 def test_sessions_are_cut_into_stretches(spark):
     """The only window over whole sessions runs on one line per stretch, after an aggregate."""
     text = plan(abandonment.firings(shopping_events(spark, SMALL), "event"))

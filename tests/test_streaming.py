@@ -159,9 +159,7 @@ def test_abandonment_equals_batch(spark, tmp_path, seed):
     log = abandonment.abandonment_log(abandonment.firings(batch, "event"))
     assert plain(tables.read_rows(spark, root, "abandonment_log")) == plain(log)
 
-    lists = abandonment.abandoned_carts(
-        abandonment.cart_items(batch, "event"), log, abandonment.HOUR_MS
-    )
+    lists = abandonment.abandoned_carts(abandonment.cart_items(batch, "event"), log)
     page = ranking.with_products(ranking.page(log, 1), lists)
     live = dashboard.abandoned_page(spark, root, 1)
     assert plain(live.select("user_session", "fired_at", "products")) == plain(

@@ -29,10 +29,12 @@ CLOCKS = {
     "event": ("event_ms", HOUR_MS),
 }
 
-# Most items of one list in a row, and most items of one session and stretch numbered together.
+# Stretch length for numbering list items, which are not combined: short where any number may come
+# in a second, long where five do.
+LIST_STRETCH = {"replay": 6 * HOUR_MS, "arrival": 1000, "event": 1000}
+
+# Most items of one list in a row.
 CHUNK = 1000
-CROWD = 1_000_000
-SECOND_MS = 1000
 
 
 def time_code(event_ts: Column) -> Column:
@@ -58,7 +60,8 @@ def tracked(events: DataFrame, at: str) -> DataFrame:
 
 
 def _stretch(at: str, stretch_ms: int) -> Column:
-    return F.expr(f"{at} div {stretch_ms} * {stretch_ms}").alias("stretch")
+    # Never NULL, so that joins on it add no filter that would keep two plans from sharing a shuffle.
+    return F.coalesce(F.expr(f"{at} div {stretch_ms}"), F.lit(0)).alias("stretch")
 
 
 def decide(last_cart: Column, last_purchase: Column, seconds: int) -> Column:
@@ -205,34 +208,8 @@ def cart_items(events: DataFrame, clock: str = "replay") -> DataFrame:
     )
 
 
-def _numbering_stretches(items: DataFrame, stretch_ms: int, crowd: int) -> DataFrame:
-    """Add ``stretch``: the usual one, or single seconds where a session crowds it.
-
-    Only stretches with more than ``crowd`` items are listed for the join, so the list is at most
-    one line per ``crowd`` items of the whole table: small enough to broadcast.
-    """
-    usual = items.select("*", _stretch("at_ms", stretch_ms))
-    crowded = (
-        usual.groupBy("user_session", "stretch")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > crowd)
-        .select("user_session", "stretch", F.lit(True).alias("crowded"))
-    )
-    return (
-        usual.join(F.broadcast(crowded), ["user_session", "stretch"], "left")
-        .withColumn(
-            "stretch", F.when(F.col("crowded"), _stretch("at_ms", SECOND_MS)).otherwise(F.col("stretch"))
-        )
-        .drop("crowded")
-    )
-
-
 def abandoned_carts(
-    items: DataFrame,
-    log: DataFrame,
-    stretch_ms: int = HOUR_MS,
-    chunk: int = CHUNK,
-    crowd: int = CROWD,
+    items: DataFrame, log: DataFrame, clock: str = "event", stretch_ms: int | None = None, chunk: int = CHUNK
 ) -> DataFrame:
     """Product lists of abandoned sessions as of their last abandoned firing, newest first.
 
@@ -241,9 +218,15 @@ def abandoned_carts(
     ``chunk`` items, so a list of any length is whole and no task collects more than that.
 
     Items are numbered within their stretch; a table with one line per session and stretch adds
-    how many came before.
+    how many came before. Both read the items through one shuffle.
     """
-    items = _numbering_stretches(items, stretch_ms, crowd)
+    stretch_ms = stretch_ms or LIST_STRETCH[clock]
+    here = Window.partitionBy("user_session", "stretch").orderBy("at_ms", "ordinal", "product_id")
+    numbered = (
+        items.select("*", _stretch("at_ms", stretch_ms))
+        .repartition("user_session", "stretch")
+        .select("user_session", "stretch", "product_id", "at_ms", F.row_number().over(here).alias("nth"))
+    )
     last_fired = log.groupBy("user_session").agg(
         F.unix_millis(F.max("fired_at").cast("timestamp")).alias("fired_ms")
     )
@@ -253,8 +236,8 @@ def abandoned_carts(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     older = (
-        items.groupBy("user_session", "stretch")
-        .agg(F.count("*").alias("n"))
+        numbered.groupBy("user_session", "stretch")
+        .agg(F.max("nth").alias("n"))
         .join(last_fired, "user_session")
         .select(
             "user_session",
@@ -263,15 +246,10 @@ def abandoned_carts(
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("older"),
         )
     )
-    here = Window.partitionBy("user_session", "stretch").orderBy("at_ms", "ordinal", "product_id")
     placed = (
-        items.join(older, ["user_session", "stretch"])
+        numbered.join(older, ["user_session", "stretch"])
         .where(F.col("at_ms") <= F.col("fired_ms"))
-        .select(
-            "user_session",
-            "product_id",
-            (F.col("older") + F.row_number().over(here) - 1).alias("place"),
-        )
+        .select("user_session", "product_id", (F.col("older") + F.col("nth") - 1).alias("place"))
     )
     newest_first = F.sort_array(F.collect_list(F.struct("place", "product_id")), asc=False)
     return (

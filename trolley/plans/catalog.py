@@ -48,17 +48,14 @@ def _log(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
 
 def _carts(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
     items = abandonment.cart_items(shopping_events(spark, sf_dir, (CART,)), clock)
-    stretch_ms = abandonment.CLOCKS[clock][1]
-    lists = abandonment.abandoned_carts(items, _log(spark, sf_dir, clock), stretch_ms)
+    lists = abandonment.abandoned_carts(items, _log(spark, sf_dir, clock), clock)
     return lists.withColumn("products", F.to_json("products"))
 
 
 def _page_with_products(spark: SparkSession, sf_dir: str, number: int, near: int) -> DataFrame:
     log = cut(_log(spark, sf_dir, "replay"))
     items = abandonment.cart_items(shopping_events(spark, sf_dir, (CART,)), "replay")
-    return dashboard.page_with_lists(
-        log, items, number, near=near, stretch_ms=abandonment.CLOCKS["replay"][1]
-    )
+    return dashboard.page_with_lists(log, items, number, near=near, clock="replay")
 
 
 def _page_after_first(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ def page_with_lists(
     number: int = 0,
     size: int = PAGE_SIZE,
     near: int = ranking.NEAR,
-    stretch_ms: int = abandonment.HOUR_MS,
+    clock: str = "event",
 ) -> DataFrame:
     """A page of the log with the product lists, built for the sessions on the page only.
 
@@ -49,7 +49,7 @@ def page_with_lists(
     lists = abandonment.abandoned_carts(
         items.join(sessions, "user_session", "left_semi"),
         log.join(sessions, "user_session", "left_semi"),
-        stretch_ms,
+        clock,
     )
     return ranking.with_products(entries, lists, size)
 
