@@ -102,8 +102,8 @@ def _rows(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[tuple[list,
         yield batch.column(0).to_pylist(), shingle_sets(batch.column(1), words)
 
 
-def frequent_shingles(docs: DataFrame, words: int, percent: int, most: int = FREQUENT) -> np.ndarray:
-    """The shingles that most often stand in prefixes when sets are ordered by hash alone.
+def frequent_shingles(docs: DataFrame, words: int, most: int = FREQUENT) -> np.ndarray:
+    """The shingles of most documents.
 
     Counted over all documents; a task reports those that it met at least twice, so counts are lower
     bounds. At most ``most`` come to the driver.
@@ -112,7 +112,7 @@ def frequent_shingles(docs: DataFrame, words: int, percent: int, most: int = FRE
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for _, sets in [*_rows(batches, words), (None, ())]:
-            held += [s[: prefix_length(len(s), percent)] for s in sets]
+            held += sets
             if _ is None or sum(map(len, held)) > 1 << 22:
                 values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
                 often = counts > 1
@@ -189,18 +189,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     component, unless there is no other. Shingles are compared by 64-bit hashes. Other columns are
     ignored.
     """
-    rows = stored(prefixes(docs, words, percent, frequent_shingles(docs, words, percent)), "prefixes")
+    rows = stored(prefixes(docs, words, percent, frequent_shingles(docs, words)), "prefixes")
     filled = rows.where("n > 0")
     # Equal sets are one class, equal prefixes and sizes one group.
     classes = stored(filled.groupBy("node", "grp", "n").agg(F.min("doc_id").alias("rep")), "classes")
     groups = classes.groupBy("grp").agg(F.min("rep").alias("doc_id"), F.min("node").alias("head"))
     own = filled.select("doc_id", "grp", "n", "prefix").join(groups, ["doc_id", "grp"]).dropDuplicates(["grp"])
     postings = own.select("grp", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("many"), F.min("grp").alias("hub")).where("many > 1").drop("many")
+    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     postings = stored(postings.join(shared, "shingle"), "postings")
+    # A bucket's hub is the group whose prefix is the commonest: the one that others are copies of.
+    common = postings.groupBy("grp", "n").agg((F.sum("many") / F.col("n")).alias("common")).drop("n")
+    hubs = postings.join(common, "grp").groupBy("shingle").agg(F.max(F.struct("common", "grp"))["grp"].alias("hub"))
 
     heads = groups.select("grp", "head")
-    to_hub = postings.where("grp <> hub").select("grp", "hub").distinct()
+    to_hub = postings.join(hubs, "shingle").where("grp <> hub").select("grp", "hub").distinct()
     sizes = classes.select(F.col("grp").alias("hub"), F.col("n").alias("m")).distinct()
     hub_heads = heads.select(F.col("grp").alias("hub"), F.col("head").alias("b"))
     members = classes.select("grp", "n", F.col("node").alias("a"))
@@ -211,11 +214,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     roots = stored(_with_roots(classes, links), "roots")
     units = roots.select("grp", "root").distinct()
-    buckets = postings.drop("hub").join(units, "grp")
+    buckets = postings.drop("many").join(units, "grp")
     mixed = buckets.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("shingle")
     buckets = stored(buckets.join(mixed, "shingle", "left_semi"), "buckets")
     one, two = (buckets.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "pos", "root"))) for s in "ab")
-    rest = F.least("pos_a", "pos_b") + 1 + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
+    # At the first shingle that two sets share, nothing before it counts; one row per pair must pass.
+    rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
     enough = rest * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     group_pairs = one.join(two, "shingle").where((F.col("root_a") < F.col("root_b")) & _alike("n_a", "n_b", percent) & enough)
     group_pairs = group_pairs.select("grp_a", "root_a", "grp_b", "root_b").distinct()

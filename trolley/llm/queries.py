@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import chat, jaccard, line_dedup, packing, sentencepieces, toxicity
+from trolley.llm import chat, fingerprints, jaccard, line_dedup, packing, sentencepieces, sharding, toxicity
 from trolley.llm.common import table
 
 #: A conversation whose texts look like marks.
@@ -28,6 +28,14 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digests(table(spark, sf_dir, "documents"), model, ["doc_id"])
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -50,5 +58,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_chat_format, op2_jaccard, op3_sentencepiece, op7_line_dedup, op9_packing, op10_toxicity)
+    for f in (op1_chat_format, op2_jaccard, op3_sentencepiece, op4_sharding, op5_fingerprints, op7_line_dedup, op9_packing, op10_toxicity)
 }
