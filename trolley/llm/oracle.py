@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from trolley.llm.licenses import TEMPLATES, TERM, THRESHOLD
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -43,6 +45,20 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
 """
 
+OP6 = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(
+        list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 10
+"""
+
 OP7 = f"""
 WITH lines AS (
     SELECT doc_id, unnest(split(coalesce(text, ''), chr(10))) AS line,
@@ -61,4 +77,53 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-SQL = {"op1_chat_format": OP1, "op2_jaccard": OP2, "op7_line_dedup": OP7}
+
+_TEMPLATES = " UNION ALL ".join(f"SELECT '{name}' AS licence, '{text}' AS text" for name, text in TEMPLATES.items())
+OP8 = f"""
+WITH files AS (
+    SELECT doc_id, text, concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id) AS path FROM documents
+), templates AS (
+    SELECT licence, term, count(*) AS tf FROM (
+        SELECT licence, lower(unnest(regexp_extract_all(text, '{TERM}'))) AS term FROM ({_TEMPLATES}))
+    GROUP BY ALL
+), total AS (SELECT count(*) AS n FROM files
+), df AS (
+    SELECT term, count(DISTINCT doc_id) AS df FROM (
+        SELECT doc_id, lower(unnest(regexp_extract_all(text, '{TERM}'))) AS term FROM files)
+    WHERE term IN (SELECT term FROM templates) GROUP BY term
+), idf AS (
+    SELECT DISTINCT term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM templates LEFT JOIN df USING (term), total
+), units AS (
+    SELECT licence, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY licence)) AS unit FROM templates JOIN idf USING (term)
+), lines AS (
+    SELECT doc_id, unnest(split(text, chr(10))) AS line, generate_subscripts(split(text, chr(10)), 1) AS no FROM files
+), found AS (
+    SELECT doc_id, no, term, count(*) AS tf FROM (
+        SELECT doc_id, no, lower(unnest(regexp_extract_all(line, '{TERM}'))) AS term FROM lines)
+    GROUP BY ALL
+), weighed AS (
+    SELECT doc_id, no, term, tf * coalesce(idf, ln(1 + n) + 1) AS w FROM found LEFT JOIN idf USING (term), total
+), scores AS (
+    SELECT doc_id, no, licence, round(dot / norm, 6) AS score
+    FROM (SELECT doc_id, no, licence, sum(w * unit) AS dot FROM weighed JOIN units USING (term) GROUP BY ALL)
+    JOIN (SELECT doc_id, no, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL) USING (doc_id, no)
+), own AS (
+    SELECT doc_id, licence AS own_licence, score AS own_score FROM scores WHERE score >= {THRESHOLD}
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence, no) = 1
+), named AS (
+    SELECT doc_id, path, own_licence, own_score, split(path, '/') AS parts FROM files LEFT JOIN own USING (doc_id)
+), holders AS (
+    SELECT dir, arg_min(own_licence, doc_id) AS licence FROM (
+        SELECT doc_id, own_licence, array_to_string(parts[1:depth], '/') AS dir
+        FROM named, range(0, 3) AS r(depth) WHERE own_licence IS NOT NULL AND depth < len(parts))
+    GROUP BY dir
+)
+SELECT n.path, n.doc_id, own_licence, own_score, coalesce(own_licence, a.licence, b.licence, c.licence) AS licence,
+    CASE WHEN own_licence IS NULL THEN CASE WHEN a.dir IS NOT NULL THEN a.dir WHEN b.dir IS NOT NULL THEN b.dir ELSE c.dir END END AS inherited_from
+FROM named n
+LEFT JOIN holders a ON a.dir = array_to_string(parts[1:2], '/')
+LEFT JOIN holders b ON b.dir = parts[1]
+LEFT JOIN holders c ON c.dir = ''
+"""
+
+SQL = {"op1_chat_format": OP1, "op2_jaccard": OP2, "op6_neighbours": OP6, "op7_line_dedup": OP7, "op8_licenses": OP8}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import chat, fingerprints, jaccard, line_dedup, packing, sentencepieces, sharding, toxicity
+from trolley.llm import chat, fingerprints, jaccard, licenses, line_dedup, neighbours, packing, sentencepieces, sharding, toxicity
 from trolley.llm.common import table
 
 #: A conversation whose texts look like marks.
@@ -36,11 +36,22 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    return licenses.scan(files, key="doc_id", order="doc_id")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(
         table(spark, sf_dir, "documents"),
@@ -58,5 +69,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_chat_format, op2_jaccard, op3_sentencepiece, op4_sharding, op5_fingerprints, op7_line_dedup, op9_packing, op10_toxicity)
+    for f in (
+        op1_chat_format,
+        op2_jaccard,
+        op3_sentencepiece,
+        op4_sharding,
+        op5_fingerprints,
+        op6_neighbours,
+        op7_line_dedup,
+        op8_licenses,
+        op9_packing,
+        op10_toxicity,
+    )
 }
