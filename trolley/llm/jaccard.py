@@ -113,7 +113,7 @@ def frequent_shingles(docs: DataFrame, words: int, most: int = FREQUENT) -> np.n
         held: list[np.ndarray] = []
         for _, sets in [*_rows(batches, words), (None, ())]:
             held += sets
-            if _ is None or sum(map(len, held)) > 1 << 22:
+            if _ is None or sum(map(len, held)) > 1 << 21:
                 values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
                 often = counts > 1
                 yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often], pa.int64())], ["shingle", "n"])
@@ -130,12 +130,13 @@ SETS = "doc_id bigint, n bigint, node bigint, grp bigint, prefix array<bigint>"
 def prefixes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """Per document: size and hash of its set, its prefix under the order (frequent last, then by hash)
     and the hash of prefix and size. Columns: ``SETS``."""
+    known = np.append(frequent, np.uint64(0))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _rows(batches, words):
             rows = []
             for own in sets:
-                late = np.isin(own, frequent, assume_unique=True) if len(frequent) else np.zeros(len(own), bool)
+                late = known[np.searchsorted(frequent, own)] == own
                 prefix = np.concatenate([own[~late], own[late]])[: prefix_length(len(own), percent)]
                 node, grp = (xxhash.xxh3_64_intdigest(x.tobytes(), len(own)) - (1 << 63) for x in (own, prefix))
                 rows.append((len(own), node, grp, prefix.view(np.int64)))
