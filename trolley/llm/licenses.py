@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The usual one-line notices.
@@ -72,6 +72,12 @@ def cues(units: dict[str, dict[str, float]], threshold: float = THRESHOLD) -> li
     return heaviest
 
 
+def _literal(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """A small fixed table, as literals of the plan."""
+    structs = (F.struct(*(F.lit(v).alias(k) for k, v in row.items())) for row in rows)
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def stated(files: DataFrame, key: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(key, licence, score, line): the best statement of each file that has one.
 
@@ -84,8 +90,8 @@ def stated(files: DataFrame, key: str = "path", text: str = "text", threshold: f
     wanted = "(?i)" + "|".join(re.escape(c) for c in cues(units, threshold))
     lines = files.select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n", -1)).alias("line", "text")).where(F.col("text").rlike(wanted))
     found = lines.select("key", "line", F.explode(terms(F.col("text"))).alias("term")).groupBy("key", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
-    known = spark.createDataFrame([(t, w) for t, w in weights.items() if t], "term string, idf double")
-    parts = spark.createDataFrame([(t, n, w) for n, u in units.items() for t, w in u.items()], "term string, licence string, unit double")
+    known = _literal(spark, [{"term": t, "idf": w} for t, w in weights.items() if t])
+    parts = _literal(spark, [{"term": t, "licence": n, "unit": w} for n, u in units.items() for t, w in u.items()])
     weighed = found.join(F.broadcast(known), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(weights[None])))
     norms = weighed.groupBy("key", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = weighed.join(F.broadcast(parts), "term").groupBy("key", "line", "licence").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
