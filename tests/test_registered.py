@@ -4,9 +4,11 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_point
+from trolley.plans import catalog
+from trolley.plans import oracle as twins
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = {name: entry_point.queries()[name] for name in catalog.QUERIES}
+SQL = {name: entry_point.oracle_sql()[name] for name in twins.SQL}
 
 
 @pytest.fixture(scope="module")

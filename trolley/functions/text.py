@@ -25,6 +25,9 @@ CLOCK_TEXT = rf"^{YEAR}-\d\d-\d\d \d\d:\d\d:\d\d$"
 LOOSE_CLOCK_TEXT = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}[{WHITESPACE}]+\d{{1,2}}:\d{{1,2}}:\d{{1,2}}$"
 TWO_PARTS = rf"^[^{WHITESPACE}]+[{WHITESPACE}]+[^{WHITESPACE}]+$"
 
+#: The first DOUBLE beyond BIGINT; a cast alone would cut it to the largest BIGINT.
+BIGINT_END = float(1 << 63)
+
 
 def trim_all(text: Column) -> Column:
     """Strip every kind of whitespace, not only spaces."""
@@ -35,17 +38,19 @@ def to_double(text: Column) -> Column:
     """Text to DOUBLE; NaN and infinities are values, anything else malformed is NULL."""
     bare = F.btrim(text, F.lit(NUMBER_WHITESPACE))
     spelled = bare.rlike(rf"^(?:{NUMBER}|{NOT_FINITE})$")
-    return F.when(spelled, F.translate(bare, "_", "").try_cast("double"))
+    # The cast knows nan without a sign only.
+    unsigned = F.regexp_replace(F.translate(bare, "_", ""), r"^[+-](?i:(nan))$", "$1")
+    return F.when(spelled, unsigned.try_cast("double"))
 
 
 def double_to_bigint(number: Column) -> Column:
     """Cut the fraction; NULL for NaN, infinities and what does not fit."""
-    return number.try_cast("bigint")
+    return F.when(number < BIGINT_END, number.try_cast("bigint"))
 
 
 def id_to_bigint(text: Column) -> Column:
     """JSON id text to BIGINT: exact for integers, through DOUBLE for spellings like 5.0."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), double_to_bigint(text.try_cast("double")))
 
 
 def bare_time(event_time: Column) -> Column:

@@ -43,12 +43,18 @@ def time_code(event_ts: Column) -> Column:
 
 
 def tracked(events: DataFrame, at: str) -> DataFrame:
-    """Cart and purchase events that cart tracking can use, with their time on the chosen clock."""
+    """Cart and purchase events that cart tracking can use, with their time on the chosen clock.
+
+    On the arrival clocks, an event without ``arrival_ms`` is an error rather than dropped in silence.
+    """
+    known = F.col(at).isNotNull()
+    if at == "arrival_ms":
+        known = F.when(known, True).otherwise(F.raise_error(F.lit("arrival_ms is missing: use the event clock")))
     return events.where(
         F.col("event_type").isin(CART, PURCHASE)
         & F.col("user_session").isNotNull()
         & F.col("time_ok")
-        & F.col(at).isNotNull()
+        & known
     ).select(
         "user_session",
         "product_id",
@@ -191,9 +197,11 @@ def final_state(events: DataFrame, seconds: int = ABANDON_AFTER_SECONDS) -> Data
     """The same rule once per session, over everything that arrived (no timers)."""
     rows = tracked(events, "arrival_ms")
     cart, purchase = F.col("is_cart"), ~F.col("is_cart")
+    # Ordinals are comparable within a file or a topic's partition only; arrival goes first.
+    place = F.struct("at_ms", F.coalesce("ordinal", F.lit(0)))
     last = rows.groupBy("user_session").agg(
-        F.max_by(F.when(cart, F.col("code")), F.when(cart, F.col("ordinal"))).alias("last_cart"),
-        F.max_by(F.when(purchase, F.col("code")), F.when(purchase, F.col("ordinal"))).alias("last_purchase"),
+        F.max_by(F.when(cart, F.col("code")), F.when(cart, place)).alias("last_cart"),
+        F.max_by(F.when(purchase, F.col("code")), F.when(purchase, place)).alias("last_purchase"),
     )
     outcome = decide(F.col("last_cart"), F.col("last_purchase"), seconds)
     return last.where(F.col("last_cart").isNotNull()).select(

@@ -86,10 +86,13 @@ def page_side(df: DataFrame, size: int) -> DataFrame:
 
 
 def with_products(entries: DataFrame, carts: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
-    """Join a page of the log to the product lists; sessions without one are skipped."""
+    """Join a page of the log to the product lists, newest first; sessions without one are skipped.
+
+    The parts of a long list follow each other, newest items first.
+    """
     return carts.join(page_side(entries, size), "user_session").select(
         "user_session",
         "fired_at",
         "chunk",
         F.array_join("products", ", ").alias("products"),
-    )
+    ).orderBy(F.desc("fired_at"), "user_session", F.desc("chunk"))

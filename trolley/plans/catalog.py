@@ -20,7 +20,7 @@ from trolley.sources.event_table import (
     read_table_stream,
     shopping_events,
 )
-from trolley.sources.tables import read_rows
+from trolley.sources.tables import WINDOW_KEYS, read_latest, read_rows
 from trolley.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,8 @@ def _page_with_products(spark: SparkSession, sf_dir: str, number: int, near: int
 def _page_after_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = cut(_log(spark, sf_dir, "replay"))
     last = ranking.page(log, 0).orderBy("fired_at", F.desc("user_session")).first()
+    if last is None:
+        return ranking.page(log, 0)
     return ranking.page_after(log, last["fired_at"], last["user_session"])
 
 
@@ -130,7 +132,9 @@ def _live(spark: SparkSession, sf_dir: str, *started) -> str:
 
 def _live_rows(spark: SparkSession, sf_dir: str, job) -> DataFrame:
     """The table a job leaves, with zone-free times."""
-    rows = read_rows(spark, _live(spark, sf_dir, job), job.__name__)
+    root, name = _live(spark, sf_dir, job), job.__name__
+    windowed = name in ("purchase_windows", "removal_windows")
+    rows = read_latest(spark, root, name, WINDOW_KEYS) if windowed else read_rows(spark, root, name)
     return rows.select(
         *[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else c for c, t in rows.dtypes]
     )

@@ -11,11 +11,11 @@ from trolley.sources.tables import read_latest, read_rows
 
 
 def top_purchased(spark: SparkSession, root: str) -> DataFrame:
-    return ranking.top_products(read_latest(spark, root, "latest_purchases", ["product_id"]))
+    return ranking.top_products(read_latest(spark, root, "latest_purchases", ["product_id"], ("window_start",)))
 
 
 def top_removed(spark: SparkSession, root: str) -> DataFrame:
-    return ranking.top_products(read_latest(spark, root, "latest_removals", ["product_id"]))
+    return ranking.top_products(read_latest(spark, root, "latest_removals", ["product_id"], ("window_start",)))
 
 
 def top_users(spark: SparkSession, root: str) -> DataFrame:

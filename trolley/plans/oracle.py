@@ -242,23 +242,10 @@ SELECT CASE WHEN turn = 1 THEN '[' || line || ']' ELSE line END AS value,
             ELSE 'missing_user_id' END AS reason
 FROM lines WHERE turn < 3"""
 
-def _closed(kinds: str) -> str:
-    """Where a stream of these events stands at its end: 10 minutes behind the latest one."""
-    return f"""
-(SELECT make_timestamp(max(epoch_us(ts)) // 1000 * 1000) - INTERVAL 10 MINUTES
- FROM events WHERE event_type IN ({kinds}))"""
-
-
-def _closed_windows(kind: str, stored: str, size_s: int) -> str:
-    return f"""
-SELECT * FROM ({_windows(kind, 'event_ts', size_s, 1)})
-WHERE window_end <= {_closed(f"'{stored}'")}"""
-
-
-def _top_closed(kind: str, stored: str, size_s: int) -> str:
+def _top_of(kind: str, size_s: int) -> str:
     return f"""
 SELECT product_id, arg_max(cnt, window_start) AS cnt
-FROM ({_closed_windows(kind, stored, size_s)}) GROUP BY product_id
+FROM ({_windows(kind, 'event_ts', size_s, 1)}) GROUP BY product_id
 ORDER BY cnt DESC, product_id LIMIT 25"""
 
 
@@ -321,13 +308,13 @@ SQL: dict[str, str] = {
     "event_json_roundtrip": ROUNDTRIP,
     "json_rejects": JSON_REJECTS,
     "csv_replay": CSV_REPLAY,
-    "stream_purchase_windows": _closed_windows("purchase", "purchase", 3),
-    "stream_removal_windows": _closed_windows("remove_from_cart", "error", 5),
+    "stream_purchase_windows": _windows("purchase", "event_ts", 3, 1),
+    "stream_removal_windows": _windows("remove_from_cart", "event_ts", 5, 1),
     "stream_user_activity": ACTIVITY,
     "stream_user_product": USER_PRODUCT,
     "stream_abandonment_log": CLOSED_LOG,
-    "dashboard_top_purchased": _top_closed("purchase", "purchase", 3),
-    "dashboard_top_removed": _top_closed("remove_from_cart", "error", 5),
+    "dashboard_top_purchased": _top_of("purchase", 3),
+    "dashboard_top_removed": _top_of("remove_from_cart", 5),
     "dashboard_top_users": f"SELECT * FROM ({ACTIVITY}) ORDER BY score DESC, user_id LIMIT 15",
     "dashboard_unconverted_for_user": _unconverted(2, "AND user_id = 15"),
     "dashboard_abandoned_page": LIVE_PAGE,

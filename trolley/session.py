@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
             named = tempfile.mkdtemp(prefix="trolley-")
         context.setCheckpointDir(named)

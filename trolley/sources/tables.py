@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 from trolley.schema import RESULT_SCHEMAS
 
 
+#: Keys of the tables of windows.
+WINDOW_KEYS = ["product_id", "window_start", "window_end"]
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 
@@ -63,10 +67,13 @@ def read_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_batches(spark, root, name).drop("batch_id")
 
 
-def read_latest(spark: SparkSession, root: str, name: str, keys: list[str]) -> DataFrame:
-    """The newest row per key of a table kept up to date. Filters on a key reach the scan."""
+def read_latest(
+    spark: SparkSession, root: str, name: str, keys: list[str], by: tuple[str, ...] = ()
+) -> DataFrame:
+    """The newest row per key of a table kept up to date: by the columns ``by``, then by batch.
+    Filters on a key reach the scan."""
     values = [c for c in _schema(name).names if c not in keys]
-    newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("newest")
+    newest = F.max_by(F.struct(*values), F.struct(*by, "batch_id")).alias("newest")
     return read_batches(spark, root, name).groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
@@ -89,14 +96,23 @@ def reset(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(RESULT_
 def compact(
     spark: SparkSession, root: str, name: str, into: str, keys: list[str] | None = None
 ) -> None:
-    """Write the table's current content under another root, as one batch numbered like the last.
+    """Write the table's content under another root: all batches but the newest as one.
 
-    With the query stopped, restart it from its checkpoint on the new root: its next batches come
-    after the compacted one. The old root stays whole until the new one is in use.
+    The newest batch keeps a folder of its own, since a restart may run it again and replace it. With
+    the query stopped, restart it from its checkpoint on the new root. The old root stays whole until
+    the new one is in use. Rows of an update table (``keys``) are folded to the newest per key and
+    sorted by key, others by their first column, so that lookups skip row groups.
     """
-    last = read_batches(spark, root, name).agg(F.max("batch_id")).first()[0]
-    current = read_latest(spark, root, name, keys) if keys else read_rows(spark, root, name)
+    batches = read_batches(spark, root, name)
+    last = batches.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return _write(batches.drop("batch_id"), 0, into, name)
+    older = batches.where(F.col("batch_id") < last)
     if keys:
-        # Sorted by key so that a lookup by key skips row groups.
-        current = current.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    _write(current, 0 if last is None else last, into, name)
+        values = [c for c in _schema(name).names if c not in keys]
+        newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
+        older = older.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    order = keys or _schema(name).names[:1]
+    older = older.repartitionByRange(*order).sortWithinPartitions(*order)
+    _write(older, last - 1, into, name)
+    _write(batches.where(F.col("batch_id") == last), last, into, name)

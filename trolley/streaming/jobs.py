@@ -56,7 +56,9 @@ def start(
     )
 
 
-def _windows(events: DataFrame, kind: str, time_col: str, window: tuple[str, str], delay: str) -> DataFrame:
+def _windows(events: DataFrame, kind: str, time_col: str, window: tuple[str, str], delay: str | None) -> DataFrame:
+    # Arrival times come in order, so nothing has to be waited for.
+    delay = delay or ("0 seconds" if time_col == "arrival_ts" else WATERMARK_DELAY)
     of_kind = live(events).where((F.col("event_type") == kind) & F.col(time_col).isNotNull())
     return windows.sliding_counts(of_kind.withWatermark(time_col, delay), kind, time_col, *window)
 
@@ -66,17 +68,18 @@ def purchase_windows(
     root: str,
     time_col: str = "event_ts",
     window: tuple[str, str] = PURCHASE_WINDOW,
-    delay: str = WATERMARK_DELAY,
+    delay: str | None = None,
     **run,
 ) -> StreamingQuery:
-    """Closed windows are appended once; ``time_col="arrival_ts"`` goes by arrival.
+    """Every micro-batch writes the windows it changed; ``time_col="arrival_ts"`` goes by arrival.
 
-    The latest window per product is kept in a table of its own, which the top list reads. Windows
-    close in time order, so a product's newest micro-batch holds its latest window.
+    Read the table with ``read_latest`` on ``WINDOW_KEYS``. The watermark only bounds the state: an
+    event later than ``delay`` (10 minutes, by arrival none) behind the latest one is dropped. The
+    latest window per product is kept in a table of its own, which the top list reads.
     """
     frame = _windows(events, PURCHASE, time_col, window, delay)
     derived = {"latest_purchases": windows.latest_of}
-    return start(frame, root, "purchase_windows", "append", derived=derived, **run)
+    return start(frame, root, "purchase_windows", "update", derived=derived, **run)
 
 
 def removal_windows(
@@ -84,13 +87,13 @@ def removal_windows(
     root: str,
     time_col: str = "event_ts",
     window: tuple[str, str] = REMOVAL_WINDOW,
-    delay: str = WATERMARK_DELAY,
+    delay: str | None = None,
     **run,
 ) -> StreamingQuery:
     """The same for products removed from carts."""
     frame = _windows(events, REMOVE, time_col, window, delay)
     derived = {"latest_removals": windows.latest_of}
-    return start(frame, root, "removal_windows", "append", derived=derived, **run)
+    return start(frame, root, "removal_windows", "update", derived=derived, **run)
 
 
 def user_activity(events: DataFrame, root: str, **run) -> StreamingQuery:
@@ -103,15 +106,22 @@ def user_product(events: DataFrame, root: str, **run) -> StreamingQuery:
 
 
 def abandonment_log(
-    events: DataFrame, root: str, clock: str = "event", seconds: int = ABANDON_AFTER_SECONDS, **run
+    events: DataFrame,
+    root: str,
+    clock: str = "event",
+    seconds: int = ABANDON_AFTER_SECONDS,
+    delay: str = WATERMARK_DELAY,
+    **run,
 ) -> StreamingQuery:
     """Abandoned firings, by event time or by arrival (``clock="ingest"``).
 
+    ``delay`` is how late an event may be on the event clock.
+
     Arrival timers are always waiting for the time to pass, so that job never runs out of things
     to do: it takes an interval (one second by default) and runs until it is stopped.
     """
     if clock == "event":
-        frame = timers.abandonment_by_event_time(events, seconds)
+        frame = timers.abandonment_by_event_time(events, seconds, delay)
     else:
         frame = timers.abandonment_by_arrival(events, seconds)
         run.setdefault("interval", "1 second")
