@@ -13,6 +13,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trolley.llm.common import stored
+
 #: The usual one-line notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -61,15 +63,16 @@ def template_weights(weights: dict[str | None, float]) -> dict[str, dict[str, fl
     return out
 
 
-def cues(units: dict[str, dict[str, float]], threshold: float = THRESHOLD) -> list[str]:
-    """Terms of which a line must have one to reach the threshold for any template: what the others
-    make up of a template's unit vector bounds the cosine (Cauchy-Schwarz)."""
-    heaviest = sorted(VOCABULARY, key=lambda t: (-max(u.get(t, 0.0) for u in units.values()), t))
-    for n in range(len(heaviest) + 1):
-        rest = set(heaviest[n:])
-        if all(sum(w * w for t, w in u.items() if t in rest) < (threshold * 0.999) ** 2 for u in units.values()):
-            return sorted(heaviest[:n])
-    return heaviest
+def cues(weights: dict[str | None, float], threshold: float = THRESHOLD) -> list[str]:
+    """Terms of which a line must have one to reach the threshold for any template, rare ones if
+    possible: what the others make up of a template's unit vector bounds the cosine (Cauchy-Schwarz)."""
+    units = template_weights(weights)
+    chosen: list[str] = []
+    for term in sorted(VOCABULARY, key=lambda t: (-weights[t], t)):
+        short = [u for u in units.values() if sum(w * w for t, w in u.items() if t not in chosen) >= (threshold * 0.999) ** 2]
+        if any(term in u for u in short):
+            chosen.append(term)
+    return chosen
 
 
 def _literal(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -87,9 +90,10 @@ def stated(files: DataFrame, key: str = "path", text: str = "text", threshold: f
     spark = files.sparkSession
     weights = idf(files, text)
     units = template_weights(weights)
-    wanted = "(?i)" + "|".join(re.escape(c) for c in cues(units, threshold))
+    wanted = "(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(c) for c in cues(weights, threshold)) + ")(?![a-z0-9])"
     lines = files.select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n", -1)).alias("line", "text")).where(F.col("text").rlike(wanted))
     found = lines.select("key", "line", F.explode(terms(F.col("text"))).alias("term")).groupBy("key", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
+    found = stored(found, "terms")
     known = _literal(spark, [{"term": t, "idf": w} for t, w in weights.items() if t])
     parts = _literal(spark, [{"term": t, "licence": n, "unit": w} for n, u in units.items() for t, w in u.items()])
     weighed = found.join(F.broadcast(known), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(weights[None])))
@@ -117,7 +121,8 @@ def scan(files: DataFrame, key: str = "path", order: str = "path", text: str = "
     Directories are resolved among themselves before files are joined to the one they lie in, so that
     a crowded directory is a plain skewed join.
     """
-    own = stated(files, key, text, threshold).withColumnsRenamed({"licence": "own_licence", "score": "own_score"}).drop("line")
+    own = stored(stated(files, key, text, threshold), "statements")
+    own = own.withColumnsRenamed({"licence": "own_licence", "score": "own_score"}).drop("line")
     named = files.select(*dict.fromkeys(["path", key, order])).join(own, key, "left")
     claims = named.where(F.col("own_licence").isNotNull() & F.col("path").isNotNull())
     claims = claims.select(F.explode(directories(F.col("path"))).alias("dir"), F.col(order).alias("by"), "own_licence")
