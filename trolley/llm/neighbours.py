@@ -20,9 +20,9 @@ from trolley.llm.common import stored
 
 #: Vectors the thresholds are fitted on, at most (those with the smallest hash). All are indexed.
 SAMPLE = 16_384
-TREES, LEAF_ROWS = 12, 256
-#: A query visits one leaf of each tree, and so many times (leaves of a tree) ** POWER more.
-VISITED, POWER = 4.0, 0.75
+TREES, LEAF_ROWS = 12, 1_024
+#: A query visits as many leaves as there are trees, and VISITED * (leaves of a tree) ** POWER more.
+VISITED, POWER = 7.0, 0.5
 #: Distances are worked out in blocks of so many vectors.
 BLOCK = 2_048
 
