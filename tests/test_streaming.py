@@ -323,3 +323,67 @@ def test_final_state_needs_an_arrival_time(spark):
         {"event_type": "purchase", "event_time": at(100), "arrival_ms": 950, "ordinal": 0},
     ])
     assert [r.outcome for r in abandonment.final_state(parts).collect()] == ["purchased"]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_recorded_arrivals_equal_batch_however_the_stream_is_cut(spark, tmp_path, parts):
+    """The events table on the arrival clock, in one micro-batch and in several; one session is busy."""
+    table = event_table.read_table(spark, f"{oracle.DATA}/sf0.001").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("user_id"))
+    ).withColumn("ts", F.when(F.col("user_id") == 1, F.lit(at(0)[:19]).cast("timestamp_ntz")).otherwise(F.col("ts"))).cache()
+    size = -(-table.count() // parts)
+    for i in range(parts):
+        rows = table.where(F.floor(F.col("event_id") / size) == i).coalesce(1)
+        rows.write.mode("append").parquet(str(tmp_path / "events.parquet"))
+        time.sleep(1.1)  # files are taken in the order of their times
+    end, when = table.agg(F.max("event_id") + 1_000_000, F.max("ts")).first()
+    last = spark.createDataFrame([(end, when, None, "purchase", 0.0, None)], table.schema)
+    last.coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    events = event_table.as_shopping_events(event_table.read_table_stream(spark, str(tmp_path), 1))
+    jobs.abandonment_log(events, str(tmp_path / "out"), clock="arrival", delay="0 seconds").awaitTermination()
+    log = abandonment.abandonment_log(abandonment.firings(event_table.as_shopping_events(table), "arrival"))
+    assert log.count() > 100
+    assert plain(tables.read_rows(spark, str(tmp_path / "out"), "abandonment_log")) == plain(log)
+
+
+def test_each_arrival_of_a_cart_has_its_own_timer(spark, tmp_path):
+    """Three carts a second apart in one micro-batch, on the wall clock: three log rows."""
+    rows = make_events(spark, [{"event_type": "cart", "event_time": at(i), "arrival_ms": 1000 * i} for i in range(3)])
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    events = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    root = str(tmp_path / "out")
+    tables.reset(spark, root, ("abandonment_log",))
+    query = jobs.abandonment_log(events, root, clock="ingest", seconds=2, forget=3600)
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and tables.read_rows(spark, root, "abandonment_log").count() < 3:
+            assert query.exception() is None
+            time.sleep(1)
+    finally:
+        query.stop()
+    log = tables.read_rows(spark, root, "abandonment_log").select(F.unix_millis("fired_at")).collect()
+    assert sorted(r[0] for r in log) == [2000, 3000, 4000]
+
+
+def test_a_session_may_be_forgotten(spark, tmp_path):
+    """State that is older than ``forget`` is gone: the purchase counts no more."""
+    buy = {"event_type": "purchase", "product_id": "p", "user_id": 1, "user_session": "s"}
+    write_file(tmp_path / "in", "0.json", [buy | {"event_time": at(0)}])
+    write_file(tmp_path / "in", "1.json", end_rows())
+    root = tmp_path / "out"
+    tables.reset(spark, str(root), ("abandonment_log",))
+    query = jobs.abandonment_log(events_from(spark, tmp_path / "in"), str(root), seconds=1, forget=2)
+    try:
+        time.sleep(12)
+        cart = buy | {"event_type": "cart", "event_time": at(END)}
+        write_file(tmp_path / "in", "2.json", [cart, cart | {"user_session": "t", "event_time": at(2 * END)}])
+        deadline, found = time.time() + 40, []
+        while time.time() < deadline and "s" not in found:
+            assert query.exception() is None
+            time.sleep(1)
+            found = [r[0] for r in plain(tables.read_rows(spark, str(root), "abandonment_log"))]
+    finally:
+        query.stop()
+    assert "s" in found
+    with pytest.raises(ValueError, match="forgotten"):
+        jobs.abandonment_log(events_from(spark, tmp_path / "in"), str(root), forget=5)

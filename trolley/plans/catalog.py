@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from trolley.functions.text import ms_to_ntz
 from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
 from trolley.plans import dashboard, dirt
-from trolley.schema import CART, PURCHASE, REMOVE, VIEW
+from trolley.schema import CART, PURCHASE, REMOVE, REPLAY_STEP_MS, VIEW
 from trolley.session import cut, shared_dir
 from trolley.sources import raw_csv, topic
 from trolley.sources.event_table import (
@@ -121,11 +122,26 @@ def _csv_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _live(spark: SparkSession, sf_dir: str, *started) -> str:
+def _end_of_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """A stream of one row a day after the last of the table, on both clocks: all timers come due."""
+    table = read_table(spark, sf_dir)
+    last = {
+        "event_id": F.max("event_id") + 86_400_000 // REPLAY_STEP_MS,
+        "ts": F.max("ts") + F.expr("INTERVAL 1 DAY"),
+        "event_type": F.lit(PURCHASE),
+    }
+    values = [last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
+    table.agg(*values).write.parquet(f"{root}/end_of_stream")
+    return spark.readStream.schema(table.schema).parquet(f"{root}/end_of_stream")
+
+
+def _live(spark: SparkSession, sf_dir: str, *started, ended: bool = False) -> str:
     """Run live jobs over the events table as a stream, to its end; returns the tables' root."""
     root = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
-    events = as_shopping_events(read_table_stream(spark, sf_dir))
-    for query in [job(events, root) for job in started]:
+    rows = read_table_stream(spark, sf_dir)
+    if ended:
+        rows = rows.unionByName(_end_of_stream(spark, sf_dir, root))
+    for query in [job(as_shopping_events(rows), root) for job in started]:
         query.awaitTermination()
     return root
 
@@ -140,8 +156,13 @@ def _live_rows(spark: SparkSession, sf_dir: str, job) -> DataFrame:
     )
 
 
+def _live_log(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
+    root = _live(spark, sf_dir, partial(jobs.abandonment_log, clock=clock), ended=True)
+    return read_rows(spark, root, "abandonment_log").withColumn("fired_at", F.col("fired_at").cast("timestamp_ntz"))
+
+
 def _live_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _live(spark, sf_dir, jobs.abandonment_log, jobs.cart_items)
+    root = _live(spark, sf_dir, jobs.abandonment_log, jobs.cart_items, ended=True)
     return dashboard.abandoned_page(spark, root).withColumn(
         "fired_at", F.col("fired_at").cast("timestamp_ntz")
     )
@@ -202,7 +223,8 @@ QUERIES: dict[str, Query] = {
     "stream_removal_windows": lambda s, d: _live_rows(s, d, jobs.removal_windows),
     "stream_user_activity": lambda s, d: _live_rows(s, d, jobs.user_activity),
     "stream_user_product": lambda s, d: _live_rows(s, d, jobs.user_product),
-    "stream_abandonment_log": lambda s, d: _live_rows(s, d, jobs.abandonment_log),
+    "stream_abandonment_log": lambda s, d: _live_log(s, d, "event"),
+    "stream_abandonment_arrival": lambda s, d: _live_log(s, d, "arrival"),
     "dashboard_top_purchased": lambda s, d: dashboard.top_purchased(s, _live(s, d, jobs.purchase_windows)),
     "dashboard_top_removed": lambda s, d: dashboard.top_removed(s, _live(s, d, jobs.removal_windows)),
     "dashboard_top_users": lambda s, d: dashboard.top_users(s, _live(s, d, jobs.user_activity)),

@@ -249,16 +249,9 @@ FROM ({_windows(kind, 'event_ts', size_s, 1)}) GROUP BY product_id
 ORDER BY cnt DESC, product_id LIMIT 25"""
 
 
-# Cart marks lie 60 s after their events, and the watermark waits 60 s longer.
-CLOSED_LOG = f"""
-SELECT * FROM ({_log('event_ms')}) WHERE fired_at <= (
-  SELECT make_timestamp(max(epoch_us(ts) // 1000 * 1000 + CASE event_type WHEN 'click' THEN 60000000 ELSE 0 END))
-         - INTERVAL 11 MINUTES
-  FROM events WHERE event_type IN ('click', 'purchase'))"""
-
 LIVE_PAGE = f"""
 WITH {EVENTS},
-log AS ({CLOSED_LOG}),
+log AS ({_log('event_ms')}),
 page AS (SELECT * FROM log ORDER BY fired_at DESC, user_session LIMIT 10),
 lastfire AS (SELECT user_session, max(epoch_us(fired_at) // 1000) AS fire_ms FROM log GROUP BY 1),
 items AS (
@@ -312,7 +305,8 @@ SQL: dict[str, str] = {
     "stream_removal_windows": _windows("remove_from_cart", "event_ts", 5, 1),
     "stream_user_activity": ACTIVITY,
     "stream_user_product": USER_PRODUCT,
-    "stream_abandonment_log": CLOSED_LOG,
+    "stream_abandonment_log": _log("event_ms"),
+    "stream_abandonment_arrival": _log("arrival_ms"),
     "dashboard_top_purchased": _top_of("purchase", 3),
     "dashboard_top_removed": _top_of("remove_from_cart", 5),
     "dashboard_top_users": f"SELECT * FROM ({ACTIVITY}) ORDER BY score DESC, user_id LIMIT 15",

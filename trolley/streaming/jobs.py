@@ -111,27 +111,32 @@ def abandonment_log(
     clock: str = "event",
     seconds: int = ABANDON_AFTER_SECONDS,
     delay: str = WATERMARK_DELAY,
+    forget: int | None = None,
     **run,
 ) -> StreamingQuery:
-    """Abandoned firings, by event time or by arrival (``clock="ingest"``).
+    """Abandoned firings: by event time, by recorded arrivals (``clock="arrival"``) or by the wall
+    clock (``clock="ingest"``).
 
-    ``delay`` is how late an event may be on the event clock.
+    ``delay`` is how late a row may be on the first two clocks. ``forget`` drops the state of
+    sessions so many seconds after their last row.
 
-    Arrival timers are always waiting for the time to pass, so that job never runs out of things
-    to do: it takes an interval (one second by default) and runs until it is stopped.
+    Timers of the wall clock, and ``forget``, are always waiting for the time to pass, so such a job
+    never runs out of things to do: it takes an interval (one second by default) and runs until it
+    is stopped.
     """
-    if clock == "event":
-        frame = timers.abandonment_by_event_time(events, seconds, delay)
-    else:
-        frame = timers.abandonment_by_arrival(events, seconds)
+    if clock == "ingest" or forget is not None:
         run.setdefault("interval", "1 second")
+    if clock == "ingest":
+        frame = timers.abandonment_by_ingest(events, seconds, forget)
+    else:
+        frame = timers.abandonment_by_time(events, f"{clock}_ms", seconds, delay, forget)
     return start(frame, root, "abandonment_log", "append", **run)
 
 
 def cart_items(events: DataFrame, root: str, clock: str = "event", **run) -> StreamingQuery:
     """Cart events as list items, from which the product lists are read."""
-    if clock == "event":
-        frame = abandonment.cart_items(events, "event")
+    if clock != "ingest":
+        frame = abandonment.cart_items(events, clock)
     else:
         now_ms = F.unix_millis(F.current_timestamp())
         arrived = events.withColumn("arrival_ms", F.coalesce("arrival_ms", now_ms))

@@ -1,7 +1,7 @@
 """Cart timers on streams, per session, with state of fixed size.
 
 Rows are combined before they are shuffled to their session, so a busy session costs a few rows
-per task and millisecond, not all of its rows.
+per millisecond, not all of its rows.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -24,64 +26,77 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FIRED = "user_session string, fired_ms long"
 
 _NOT_A_TIME = UNPARSED
+# Stands for no cart or no purchase at all.
+_NOTHING = UNPARSED + 1
 
 
-def _last_per_session(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: the last cart and the last purchase of each session, by arrival."""
+def _last_per_instant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch: the last cart and the last purchase of each session and millisecond of arrival."""
     for batch in batches:
         rows = pa.Table.from_batches([batch]).sort_by([("at_ms", "ascending"), ("ordinal", "ascending")])
-        last = rows.group_by(["user_session", "is_cart"], use_threads=False).aggregate(
-            [("at_ms", "last"), ("ordinal", "last"), ("code", "last")]
+        last = rows.group_by(["user_session", "is_cart", "at_ms"], use_threads=False).aggregate(
+            [("ordinal", "last"), ("code", "last")]
         )
         columns = {
             "user_session": last["user_session"],
             "is_cart": last["is_cart"],
-            "at_ms": last["at_ms_last"],
+            "at_ms": last["at_ms"],
             "ordinal": last["ordinal_last"],
             "code": last["code_last"],
         }
         yield from pa.table(columns).to_batches()
 
 
-class Unbought(StatefulProcessor):
-    """Passes on the due carts of a session that has no purchase yet.
+def _as_of(codes: np.ndarray, old: int) -> np.ndarray:
+    """At each place the newest code up to there; ``old`` before the first."""
+    place = np.maximum.accumulate(np.where(codes != _NOTHING, np.arange(len(codes)), -1))
+    return np.where(place >= 0, codes[place], old)
 
-    Rows come in the order of event time, so the state is only whether a purchase has passed.
+
+class CartTimers(StatefulProcessor):
+    """Decides the timers that came due, from the times last known by then.
+
+    Marks reach it in the order of their time from one micro-batch to the next, so the state is the
+    last cart and the last purchase of a session. The marks of one session in one micro-batch are
+    worked off as arrays of four numbers a mark.
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.purchase = handle.getValueState("purchase", "seen boolean")
+    def __init__(self, wait_us: int, forget_ms: int | None):
+        self.wait_us, self.forget_ms = wait_us, forget_ms
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if self.purchase.exists():
-            return
-        due, first = [], None
-        for row in rows:
-            if row.bought and (first is None or row.mark < first):
-                first = row.mark
-            if row.due and (first is None or row.mark < first):
-                due.append(row.mark)
-        if first is not None:
-            self.purchase.update((True,))
-        for mark in due:
-            if first is None or mark < first:
-                yield Row(user_session=key[0], fired_at=mark)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "cart long, purchase long", self.forget_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        marks = pd.concat(rows)
+        marks = marks.iloc[np.argsort(marks["mark_ms"].to_numpy(), kind="stable")]
+        old_cart, old_purchase = self.known.get() or (_NOTHING, _NOTHING)
+        cart = _as_of(marks["cart"].to_numpy(), old_cart)
+        purchase = _as_of(marks["purchase"].to_numpy(), old_purchase)
+        self.known.update((int(cart[-1]), int(purchase[-1])))
+        readable = (cart != _NOTHING) & (cart != _NOT_A_TIME)
+        # No purchase and a purchase time that cannot be read decide alike.
+        unbought = (purchase == _NOTHING) | (purchase == _NOT_A_TIME) | (purchase - cart > self.wait_us)
+        fired = marks["mark_ms"].to_numpy()[marks["due"].to_numpy() & readable & unbought]
+        if len(fired):
+            yield pd.DataFrame({"user_session": key[0], "fired_ms": fired})
 
     def close(self) -> None:
         pass
 
 
 class IngestClockTimers(StatefulProcessor):
-    """Fires ``wait_ms`` of wall-clock time after a cart and compares the times last arrived."""
+    """Fires ``wait_ms`` of wall-clock time after each cart's arrival and compares the times last
+    arrived by then."""
 
-    def __init__(self, wait_ms: int):
-        self.wait_ms = wait_ms
+    def __init__(self, wait_ms: int, forget_ms: int | None):
+        self.wait_ms, self.forget_ms = wait_ms, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         last = "at_ms long, ordinal long, code long"
-        self.last_cart = handle.getValueState("last_cart", last)
-        self.last_purchase = handle.getValueState("last_purchase", last)
+        self.last_cart = handle.getValueState("last_cart", last, self.forget_ms)
+        self.last_purchase = handle.getValueState("last_purchase", last, self.forget_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         newest = {}
@@ -89,20 +104,20 @@ class IngestClockTimers(StatefulProcessor):
             place = (row.at_ms, row.ordinal, row.code)
             if row.is_cart not in newest or place > newest[row.is_cart]:
                 newest[row.is_cart] = place
+            if row.is_cart:
+                self.handle.registerTimer(row.at_ms + self.wait_ms)
         for is_cart, state in ((True, self.last_cart), (False, self.last_purchase)):
             if is_cart in newest:
                 known = state.get()
                 if known is None or newest[is_cart] >= tuple(known):
                     state.update(newest[is_cart])
-        if True in newest:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        cart = self.last_cart.get()[2]
+        last = self.last_cart.get()
+        cart = last[2] if last else _NOT_A_TIME
         known = self.last_purchase.get()
         purchase = known[2] if known else _NOT_A_TIME
-        # No purchase and a purchase time that cannot be read decide alike.
         unbought = purchase == _NOT_A_TIME or purchase - cart > self.wait_ms * 1000
         if cart != _NOT_A_TIME and unbought:
             yield Row(user_session=key[0], fired_ms=expiredTimerInfo.getExpiryTimeInMs())
@@ -111,36 +126,73 @@ class IngestClockTimers(StatefulProcessor):
         pass
 
 
-def abandonment_by_event_time(
-    events: DataFrame, seconds: int = ABANDON_AFTER_SECONDS, delay: str = WATERMARK_DELAY
+def _fired(rows: DataFrame) -> DataFrame:
+    return rows.select("user_session", F.timestamp_millis("fired_ms").alias("fired_at"))
+
+
+def _forget_ms(forget: int | None, seconds: int) -> int | None:
+    """``forget`` seconds as milliseconds; never less than a timer takes."""
+    if forget is not None and forget < seconds:
+        raise ValueError("a session can't be forgotten before its timers are due")
+    return None if forget is None else forget * 1000
+
+
+def abandonment_by_time(
+    events: DataFrame,
+    at: str = "event_ms",
+    seconds: int = ABANDON_AFTER_SECONDS,
+    delay: str = WATERMARK_DELAY,
+    forget: int | None = None,
 ) -> DataFrame:
-    """The abandonment log of a stream on the event clock; equals the batch log of that clock.
-
-    A cart marks the time its timer is due, a purchase its own time. An aggregate per session and
-    mark holds the marks back until the watermark has passed them: that is the timer, it makes
-    equal timers one, and its key spreads a busy session. What comes out is in time order, and a
-    cart that comes due before its session's first purchase is abandoned. (On this clock a purchase
-    known to a timer is never later than the timer, and the last cart never earlier than the
-    timer's own, so nothing else can decide.)
+    """The abandonment log of a stream by the times in its rows; equals the batch log of that clock,
+    however the stream is cut into micro-batches.
+
+    ``at`` is ``event_ms`` or the recorded ``arrival_ms``. A row marks its own time, and a cart also
+    the time its timer is due. An aggregate per session and mark holds the marks back until the
+    watermark has passed them: that is the timer, it makes equal timers one, and its key spreads a
+    busy session. ``forget`` drops what is known of a session so many seconds of wall-clock time
+    after its last mark (never, by default).
     """
-    rows = tracked(events, "event_ms")
-    wait_ms = F.when(F.col("is_cart"), F.lit(seconds * 1000)).otherwise(F.lit(0))
-    marks = (
-        rows.select("user_session", "is_cart", F.timestamp_millis(F.col("at_ms") + wait_ms).alias("mark"))
-        # Marks of carts run ahead of their events, so the watermark waits that much longer.
-        .withWatermark("mark", f"{delay} {seconds} seconds")
+    rows = tracked(events, at)
+    own = F.struct(F.col("at_ms").alias("mark_ms"), F.lit(False).alias("due"))
+    timer = F.struct((F.col("at_ms") + seconds * 1000).alias("mark_ms"), F.lit(True).alias("due"))
+    marks = rows.select(
+        "user_session",
+        "is_cart",
+        "code",
+        F.coalesce("ordinal", "at_ms").alias("place"),
+        F.inline(F.when(F.col("is_cart"), F.array(own, timer)).otherwise(F.array(own))),
+    ).withColumn("mark", F.timestamp_millis("mark_ms"))
+
+    def last(is_cart: bool):
+        counts = ~F.col("due") & (F.col("is_cart") == is_cart)
+        code = F.max_by(F.when(counts, F.col("code")), F.when(counts, F.col("place")))
+        return F.coalesce(code, F.lit(_NOTHING))
+
+    held = (
+        # Marks of carts run ahead of their rows, so the watermark waits that much longer.
+        marks.withWatermark("mark", f"{delay} {seconds} seconds")
         .groupBy("user_session", "mark")
-        .agg(F.bool_or("is_cart").alias("due"), F.bool_or(~F.col("is_cart")).alias("bought"))
+        .agg(F.bool_or("due").alias("due"), last(True).alias("cart"), last(False).alias("purchase"))
+        .select("user_session", F.unix_millis("mark").alias("mark_ms"), "due", "cart", "purchase")
     )
-    return marks.groupBy("user_session").transformWithState(
-        Unbought(), "user_session string, fired_at timestamp", "Append", "None"
+    forget_ms = _forget_ms(forget, seconds)
+    return _fired(
+        held.groupBy("user_session").transformWithStateInPandas(
+            CartTimers(seconds * 1_000_000, forget_ms), FIRED, "Append", "ProcessingTime" if forget_ms else "None"
+        )
     )
 
 
-def abandonment_by_arrival(events: DataFrame, seconds: int = ABANDON_AFTER_SECONDS) -> DataFrame:
-    """The abandonment log of a live stream: timers and last values go by arrival.
+def abandonment_by_ingest(
+    events: DataFrame, seconds: int = ABANDON_AFTER_SECONDS, forget: int | None = None
+) -> DataFrame:
+    """The abandonment log of a live stream on the wall clock.
 
-    All carts of a session in one micro-batch arrive at one time and share one timer.
+    Each distinct arrival of a cart has its own timer: its recorded ``arrival_ms``, or else the time
+    of the micro-batch that brings it. A timer decides by what has arrived when it fires; one that is
+    due already fires in the micro-batch of its cart. For recorded arrivals in the past,
+    ``abandonment_by_time`` decides as of each timer's own time.
     """
     now_ms = F.unix_millis(F.current_timestamp())
     arrived = events.withColumns(
@@ -150,8 +202,9 @@ def abandonment_by_arrival(events: DataFrame, seconds: int = ABANDON_AFTER_SECON
         }
     )
     rows = tracked(arrived, "arrival_ms").select("user_session", "is_cart", "at_ms", "ordinal", "code")
-    combined = rows.mapInArrow(_last_per_session, rows.schema)
-    fired = combined.groupBy("user_session").transformWithState(
-        IngestClockTimers(seconds * 1000), FIRED, "Append", "ProcessingTime"
+    combined = rows.mapInArrow(_last_per_instant, rows.schema)
+    return _fired(
+        combined.groupBy("user_session").transformWithState(
+            IngestClockTimers(seconds * 1000, _forget_ms(forget, seconds)), FIRED, "Append", "ProcessingTime"
+        )
     )
-    return fired.select("user_session", F.timestamp_millis("fired_ms").alias("fired_at"))
