@@ -114,7 +114,7 @@ def test_replay_clock_counts_accepted_rows_only(spark, tmp_path):
 
 
 def test_replay_clock_without_broadcast(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(cleaning, "MAX_BROADCAST_SPLITS", 0)
+    monkeypatch.setattr(cleaning, "MAX_BROADCAST_BYTES", 0)
     rows = cleaning.number_rows(cleaning.clean(csv(spark, tmp_path, GOOD, GOOD, GOOD)))
     assert tuples(rows, "ordinal") == [(0,), (1,), (2,)]
 

@@ -1,11 +1,13 @@
 """What the plans must look like to hold at scale."""
 
+import os
 import re
 from datetime import datetime
 
 import oracle
 import pytest
 
+from trolley import session
 from trolley.operators import abandonment, activity, affinity, ranking, windows
 from trolley.plans import dashboard
 from trolley.plans.catalog import QUERIES
@@ -105,3 +107,22 @@ def test_sessions_are_cut_into_stretches(spark):
 def test_json_is_parsed_once_and_texts_are_converted_once(spark):
     assert plan(QUERIES["event_json_roundtrip"](spark, SMALL)).count("from_json") == 1
     assert plan(QUERIES["clean_rows"](spark, SMALL)).count("RLIKE") == 3
+
+
+def test_a_page_filters_both_tables_by_its_sessions(spark, tmp_path):
+    log = abandonment.abandonment_log(abandonment.firings(shopping_events(spark, SMALL), "event"))
+    log.write.parquet(str(tmp_path / "log"))
+    abandonment.cart_items(shopping_events(spark, SMALL, ("cart",)), "event").write.parquet(str(tmp_path / "items"))
+    log, items = (spark.read.parquet(str(tmp_path / name)) for name in ("log", "items"))
+    text = plan(dashboard.page_with_lists(log, items))
+    assert "TakeOrderedAndProject" not in text
+    scans = [line for line in text.split("\n") if "PushedFilters" in line and "user_session" in line]
+    assert scans and all("In(user_session" in line for line in scans)
+
+
+def test_a_written_copy_is_deleted(spark, tmp_path):
+    rows = session.cut(spark.range(5))
+    assert rows.count() == 5
+    files = rows.inputFiles()
+    session.clean_up(spark)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)

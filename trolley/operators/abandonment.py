@@ -238,21 +238,20 @@ def abandoned_carts(
     last_fired = log.groupBy("user_session").agg(
         F.unix_millis(F.max("fired_at").cast("timestamp")).alias("fired_ms")
     )
-    before = (
-        Window.partitionBy("user_session")
-        .orderBy("stretch")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # Stretches are added up within an hour or so, and those sums across the session.
+    span = F.coalesce(F.expr(f"stretch div {max(1, HOUR_MS // stretch_ms)}"), F.lit(0)).alias("span")
+    counts = numbered.groupBy("user_session", "stretch").agg(F.max("nth").alias("n")).select("*", span)
+    so_far = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = so_far.partitionBy("user_session", "span").orderBy("stretch")
+    across = so_far.partitionBy("user_session").orderBy("span")
+    spans = counts.groupBy("user_session", "span").agg(F.sum("n").alias("n")).select(
+        "user_session", "span", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("earlier")
     )
     older = (
-        numbered.groupBy("user_session", "stretch")
-        .agg(F.max("nth").alias("n"))
+        counts.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        .join(spans, ["user_session", "span"])
         .join(last_fired, "user_session")
-        .select(
-            "user_session",
-            "stretch",
-            "fired_ms",
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("older"),
-        )
+        .select("user_session", "stretch", "fired_ms", (F.col("earlier") + F.col("within")).alias("older"))
     )
     placed = (
         numbered.join(older, ["user_session", "stretch"])

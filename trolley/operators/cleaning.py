@@ -12,8 +12,10 @@ from trolley.session import cut
 CONVERTED = ("user_id", "category_id", "price", "event_time")
 SOURCE_COLUMNS = ("_short", "_file", "_block")
 
-# Above this many input splits the split table is joined by shuffle instead of broadcast.
-MAX_BROADCAST_SPLITS = 1_000_000
+# A split table of more bytes is joined by shuffle instead of broadcast.
+MAX_BROADCAST_BYTES = 32 << 20
+# What a split has besides its path: three numbers, and room for the hash table's own needs.
+SPLIT_BYTES = 100
 
 
 def _checked(raw: DataFrame) -> DataFrame:
@@ -90,14 +92,20 @@ def number_rows(cleaned: DataFrame) -> DataFrame:
     splits = rows.groupBy("_file", "_block").agg(
         F.min("_row").alias("_first"), F.count("*").alias("_rows")
     )
-    # One line per input split: bounded by bytes / split size, not by rows.
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_file",
-        "_block",
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+    # Splits are added up within their file, and one line per file across the files.
+    inside = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("_file").agg(F.sum("_rows").alias("_all")).select(
+        "_file", F.coalesce(F.sum("_all").over(across), F.lit(0)).alias("_earlier")
     )
-    if splits.count() <= MAX_BROADCAST_SPLITS:
+    within = F.coalesce(F.sum("_rows").over(inside), F.lit(0))
+    offsets = (
+        splits.withColumn("_within", within)
+        .join(files, "_file")
+        .select("_file", "_block", (F.col("_earlier") + F.col("_within") - F.col("_first")).alias("_shift"))
+    )
+    held = splits.agg(F.sum(F.octet_length("_file") + SPLIT_BYTES)).first()[0] or 0
+    if held <= MAX_BROADCAST_BYTES:
         offsets = F.broadcast(offsets)
     ordinal = F.col("_row") + F.col("_shift")
     return (

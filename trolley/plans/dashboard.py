@@ -42,16 +42,19 @@ def page_with_lists(
 ) -> DataFrame:
     """A page of the log with the product lists, built for the sessions on the page only.
 
-    A page has ``size`` rows at most, so its sessions are the side to broadcast to both tables.
+    A page has ``size`` rows at most. Up to ``ranking.NEAR`` it is fetched first, once, so that its
+    sessions are a filter on both tables, which skips what a table sorted by session holds of others.
     """
     entries = ranking.page(log, number, size, near)
-    sessions = ranking.page_side(entries.select("user_session").distinct(), size)
-    lists = abandonment.abandoned_carts(
-        items.join(sessions, "user_session", "left_semi"),
-        log.join(sessions, "user_session", "left_semi"),
-        clock,
-    )
-    return ranking.with_products(entries, lists, size)
+    if size > ranking.NEAR:
+        sessions = entries.select("user_session").distinct()
+        items, log = (t.join(sessions, "user_session", "left_semi") for t in (items, log))
+    else:
+        rows = entries.collect()
+        entries = log.sparkSession.createDataFrame(rows, entries.schema)
+        here = F.col("user_session").isin(sorted({r["user_session"] for r in rows}))
+        items, log = items.where(here), log.where(here)
+    return ranking.with_products(entries, abandonment.abandoned_carts(items, log, clock), size)
 
 
 def abandoned_page(spark: SparkSession, root: str, number: int = 0, size: int = PAGE_SIZE) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from the written copy (lineage ends there)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder as Parquet and go on from the written copy (lineage ends there).
+
+    The copy stays until ``clean_up``.
+    """
+    spark = df.sparkSession
+    path = f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what ``cut`` has written in this application; nothing may read it any more."""
+    path, files = hadoop_path(spark, _own_dir(spark))
+    files.delete(path, True)
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/cut-{spark.sparkContext.applicationId}"
+
+
+def hadoop_path(spark: SparkSession, name: str):
+    """A path, and the file system it lies in, wherever that is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from trolley.schema import CART, REMOVE, REPLAY_STEP_MS
 from trolley.functions.text import epoch_ms, ms_to_ntz
+from trolley.session import hadoop_path
 
 TABLE_SCHEMA = T.StructType(
     [
@@ -35,8 +36,8 @@ def read_table_stream(
     reader = spark.readStream.schema(TABLE_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stored = read_table(spark, sf_dir).inputFiles()
-    if len(stored) == 1 and stored[0].endswith("/events.parquet"):
+    path, files = hadoop_path(spark, f"{sf_dir}/events.parquet")
+    if files.getFileStatus(path).isFile():
         return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return reader.parquet(f"{sf_dir}/events.parquet")
 
