@@ -80,3 +80,11 @@ def test_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
     roots = {r.node: r.root for r in components(edges).collect()}
     assert {roots[i] for i in range(301)} == {0} and roots[1001] == 1000
+
+
+def test_near_copies_without_doc_id_are_linked(spark):
+    words = [f"w{i}" for i in range(200)]
+    near, other = " ".join(words[:-1] + ["end"]), " ".join(f"q{i}" for i in range(50))
+    docs = spark.createDataFrame([(5, " ".join(words)), (None, near), (None, other), (None, other + " more")], "doc_id long, text string")
+    rows = sorted(((r.n_shingles, r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs).collect()), key=str)
+    assert rows == [(196, 5, 5), (196, None, 5), (46, None, None), (47, None, None)]

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import stored
+from trolley.llm.common import NO_ID, stored
 from trolley.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -190,6 +190,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     component, unless there is no other. Shingles are compared by 64-bit hashes. Other columns are
     ignored.
     """
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
     rows = stored(prefixes(docs, words, percent, frequent_shingles(docs, words)), "prefixes")
     filled = rows.where("n > 0")
     # Equal sets are one class, equal prefixes and sizes one group.
@@ -238,10 +239,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     named = final.select("node", "root").join(lowest, "root").select("node", "component")
     return (
         rows.select("doc_id", "n", "node").join(named, "node", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        .withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
+        .select(_known("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), _known("component").alias("component_id"))
     )
 
 
+def _known(name: str):
+    return F.when(F.col(name) != NO_ID, F.col(name))
+
+
 def _with_roots(classes: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links)
     return classes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -18,14 +18,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm.common import BLANKS, fresh_path, remove, stored
+from trolley.llm.common import BLANKS, NO_ID, fresh_path, remove, stored
 
 LEAST = 10
 BATCHES = 4
 FANOUT = 3
 SLICE = 256
-#: The id that documents without one share; it comes after all others.
-NO_ID = (1 << 63) - 1
 
 
 def _keys(texts: pa.Array) -> tuple[pa.Array, pa.Array, list[bytes | None]]:
