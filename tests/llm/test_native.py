@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from trolley.llm import fingerprints, licenses, neighbours, sharding
@@ -132,6 +133,43 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * len(rows)
 
 
+def derived_vectors(n):
+    """``n`` unit vectors with the mean and covariance of the embeddings."""
+    rnd, base = np.random.default_rng(n), np.stack(pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pandas().embedding).astype(float)
+    spread = np.linalg.cholesky(np.cov(base.T) + 1e-12 * np.eye(base.shape[1]))
+    out = np.empty((n, base.shape[1]), np.float32)
+    for a in range(0, n, 100_000):
+        x = rnd.standard_normal((len(out[a : a + 100_000]), base.shape[1])) @ spread.T + base.mean(0)
+        out[a : a + 100_000] = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return out
+
+
+def test_visits_reach_neighbours_at_every_size():
+    """With the default parameters, of the 10 nearest by brute force, those that share a visited leaf."""
+    for n in (51_282, 262_144, 1_000_000):
+        vectors = derived_vectors(n)
+        forest = neighbours.fit(vectors[: neighbours.SAMPLE].astype(float), n)
+        hits, queries = 0, np.arange(0, n, n // 100)[:100]
+        likes = vectors[queries] @ vectors.T
+        likes[np.arange(100), queries] = -2
+        for i, like in zip(queries, likes, strict=True):
+            met = {*forest.visits(vectors[i].astype(float), neighbours.visits_for(forest))}
+            best = forest.leaves_of(vectors[np.argpartition(-like, 10)[:10]].astype(float))
+            hits += sum(any((t, x) in met for t, x in enumerate(row)) for row in best)
+        assert hits >= 0.95 * 1000
+
+
+def test_crowded_leaves_are_sliced(spark, monkeypatch):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    asked = vectors.where("vec_id % 100 = 0")
+    whole = sorted(map(tuple, neighbours.nearest(vectors, asked).collect()))
+    seen, crowded = [], neighbours.crowded
+    monkeypatch.setattr(neighbours, "SLICE_ROWS", 300)
+    monkeypatch.setattr(neighbours, "crowded", lambda *a: seen.append(crowded(*a)) or seen[0])
+    assert sorted(map(tuple, neighbours.nearest(vectors, asked).collect())) == whole
+    assert len(seen[0]) == 2 * neighbours.TREES and {*seen[0].values()} <= {3, 4, 5}
+
+
 def test_neighbours_odd_vectors(spark):
     same = [(i, [1.0, 2.0]) for i in range(1, 41)]
     bad = [(50, None), (51, [0.0, 0.0]), (52, [1.0, None]), (53, [1.0, float("nan")]), (54, [float("inf"), 1.0]), (55, []), (56, [1.0]), (None, [1.0, 1.0])]

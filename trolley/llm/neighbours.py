@@ -21,8 +21,11 @@ from trolley.llm.common import stored
 #: Vectors the thresholds are fitted on, at most (those with the smallest hash). All are indexed.
 SAMPLE = 16_384
 TREES, LEAF_ROWS = 12, 1_024
-#: A query visits as many leaves as there are trees, and VISITED * (leaves of a tree) ** POWER more.
-VISITED, POWER = 7.0, 0.5
+#: A query visits as many leaves as there are trees, and VISITED * (leaves of a tree) ** POWER more:
+#: the growth at which the measured recall stays the same from 51,282 to 3.1 million vectors (README).
+VISITED, POWER = 3.0, 0.75
+#: Leaves of more vectors than this are cut into slices, each a group of its own.
+SLICE_ROWS = 4 * LEAF_ROWS
 #: Distances are worked out in blocks of so many vectors.
 BLOCK = 2_048
 
@@ -108,9 +111,25 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
-def _placed(rows: DataFrame, forest: Forest, leaves: int | None) -> DataFrame:
-    """(leaf, id, vector): each row in its leaf of every tree, or in the leaves a query visits."""
+def crowded(rows: DataFrame, forest: Forest) -> dict[int, int]:
+    """The number of slices of each leaf with more than SLICE_ROWS vectors, by tree << 32 | leaf."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, len(whole), BLOCK):
+                own = forest.leaves_of(_matrix(whole.column(0).slice(a, BLOCK))) + (np.arange(len(forest.directions)) << 32)
+                leaf, n = np.unique(own, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(n)], ["leaf", "n"])
+
+    sizes = rows.select("vector").mapInArrow(run, "leaf bigint, n bigint").groupBy("leaf").agg(F.sum("n").alias("n"))
+    return {r["leaf"]: -(-r["n"] // SLICE_ROWS) for r in sizes.where(F.col("n") > SLICE_ROWS).collect()}
+
+
+def _placed(rows: DataFrame, forest: Forest, leaves: int | None, slices: dict[int, int]) -> DataFrame:
+    """(leaf, id, vector): each row in its leaf of every tree, or in the leaves a query visits. Of a
+    leaf in ``slices`` a row is in one slice, by a hash of its id, and a query in all."""
     vector_type = rows.schema["vector"].dataType.simpleString()
+    crowds = np.array(sorted(slices), np.int64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -120,8 +139,12 @@ def _placed(rows: DataFrame, forest: Forest, leaves: int | None) -> DataFrame:
                 if leaves is None:
                     own = forest.leaves_of(matrix) + (np.arange(len(forest.directions)) << 32)
                     row, leaf = np.repeat(np.arange(len(batch)), own.shape[1]), own.ravel()
+                    salts = (batch.column(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+                    for i in np.flatnonzero(np.isin(leaf, crowds)):
+                        leaf[i] += salts[row[i]] % slices[int(leaf[i])] << 40
                 else:
-                    met = [[(t << 32) + x for t, x in forest.visits(v, leaves)] for v in matrix]
+                    codes = [[(t << 32) + x for t, x in forest.visits(v, leaves)] for v in matrix]
+                    met = [[c + (s << 40) for c in m for s in range(slices.get(c, 1))] for m in codes]
                     row, leaf = np.repeat(np.arange(len(batch)), [len(m) for m in met]), np.concatenate([*met, []]).astype(np.int64)
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), *taken.columns], ["leaf", "id", "vector"])
@@ -165,7 +188,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TR
     Both have vec_id and embedding; other columns are ignored. Vectors that ``valid`` leaves out, and
     rows without vec_id, take no part. Equal vectors are indexed once, with their k + 1 smallest ids,
     of which no more can be asked for. Repeated rows count once. Leaves are matched by a shuffle on
-    (tree, leaf); per leaf and query at most k + 1 candidates leave the task.
+    (tree, leaf, slice); per slice and query at most k + 1 candidates leave the task.
     """
     rows = valid(vectors).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
     asked = valid(queries).select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector")).dropDuplicates()
@@ -177,8 +200,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TR
     if not len(some):
         return classes.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     forest = fit(_matrix(some.column(0)), classes.count(), trees, leaf_rows)
-    index = _placed(classes, forest, None)
-    wanted = _placed(asked, forest, visits_for(forest))
+    slices = crowded(classes, forest) if forest.depth else {}
+    index = _placed(classes, forest, None, slices)
+    wanted = _placed(asked, forest, visits_for(forest), slices)
     found = wanted.groupBy("leaf").cogroup(index.groupBy("leaf")).applyInArrow(_leaf_ranking(k), "query_id bigint, rep bigint, score double")
     found = found.groupBy("query_id", "rep").agg(F.min("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy("score", "rep")
