@@ -109,6 +109,47 @@ def test_own_and_inherited_licenses(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def test_headers_tags_and_licence_texts(spark):
+    notices = {
+        "LICENSE": ("MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + licenses._MIT.replace(", ", ",\n") + "\n\nThe above copyright notice and this permission notice shall be included in\nall copies or substantial portions of the Software.\n\n" + licenses._AS_IS),
+        "bsd2/COPYING": ("BSD-2-Clause", "Copyright 2019, Some One\n\n" + licenses._BSD + licenses._BSD_AS_IS),
+        "bsd3/LICENSE.txt": ("BSD-3-Clause", "Copyright 2019, Some One\n\n" + licenses._BSD + licenses._BSD_NAMES + licenses._BSD_AS_IS),
+        "gpl3/COPYING": ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy"),
+        "agpl/COPYING": ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n\n Everyone is permitted to copy"),
+        "a.py": ("GPL-3.0", "import os\n# a module of mine\n" + GPL_HEADER + "\nprint(1)"),
+        "b.py": ("MIT", "# SPDX-License-Identifier: MIT\nprint(1)"),
+        "c.py": ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0"),
+        "d.py": ("MIT", "# This file is released under the MIT License. See LICENSE for details."),
+        "e.txt": ("MIT", "Some words before it come here. Released under the MIT License. And after it more words follow"),
+        "f.txt": ("Apache-2.0", "Copyright 2020 Some One\r\nLicensed under the Apache License,\r\nVersion 2.0\r\nwords"),
+        "g.txt": ("Apache-2.0", "one thing ends. Licensed under the\nApache License, Version 2.0. Another thing goes on"),
+        "h.txt": (None, "The license of the work, and a permission to copy it, were much talked of.\nGNU GENERAL PUBLIC LICENSE"),
+        "i.txt": (None, "SPDX-License-Identifier: Zlib"),
+        "j.txt": ("MIT", "MIT License"),
+    }
+    plain = [(f"p/{i}", "the words of a text and of a work that is to be read in the house") for i in range(200)]
+    files = spark.createDataFrame([(p, t) for p, (_, t) in notices.items()] + plain, "path string, text string")
+    out = licenses.scan(files)
+    assert python_free(out)
+    got = {r.path: r.own_licence for r in out.collect()}
+    assert {p: got[p] for p in notices} == {p: n for p, (n, _) in notices.items()}
+    assert not any(got[p] for p, _ in plain)
+
+
+def test_notice_cues_lose_nothing():
+    weights = {t: 3.0 for t in licenses.NOTICE_VOCABULARY} | {None: 5.0}
+    notices = {str(i): text for i, (_, text) in enumerate(licenses.NOTICES)}
+    chosen = set(licenses.cues(weights, templates=notices))
+    for unit in licenses.template_weights(weights, notices).values():
+        assert math.sqrt(sum(w * w for t, w in unit.items() if t not in chosen)) < licenses.THRESHOLD
+
+
 def test_cues_lose_nothing():
     weights = {t: 3.0 for t in licenses.VOCABULARY} | {None: 5.0}
     units = licenses.template_weights(weights)
