@@ -62,6 +62,18 @@ def test_syncmers_against_brute_force(spark, small):
         assert row.anchors == [r[0] for r in runs.orderBy("n").select(F.shiftright(F.xxhash64("a", "b", "c"), 32).cast("int")).collect()]
 
 
+def test_texts_of_five_and_six_words_have_anchors(spark):
+    texts = [" ".join(f"{c}{n}of{size}" for c in "abcdef"[:size]) for n in range(60) for size in (5, 6)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    made = fingerprints.with_anchors(rows, "text", "a")
+    assert all(r.a for r in made.collect())
+    pairs = made.crossJoin(made.selectExpr("i AS j", "a AS b")).where("i <> j")
+    assert pairs.select(F.max(fingerprints.likeness("a", "b"))).first()[0] == 0
+    blank = fingerprints.with_anchors(spark.createDataFrame([(" ",), (None,)], "text string"), "text", "b")
+    assert made.crossJoin(blank.select("b")).select(F.max(fingerprints.likeness("a", "b"))).first()[0] == 0
+    assert blank.select(F.min(fingerprints.likeness("b", "b"))).first()[0] == 1
+
+
 def test_edited_texts(spark, small, monkeypatch):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     rows = docs.orderBy(F.desc("doc_id")).collect()

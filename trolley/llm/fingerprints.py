@@ -24,8 +24,8 @@ _BLANK = r"[ \t-\r]+"
 def with_anchors(rows: DataFrame, text: str, name: str) -> DataFrame:
     """``rows`` with the anchors of a text: 32-bit hashes, in order of place.
 
-    A text of fewer than ``K`` words has one anchor, made of them all; one without words, or NULL, has
-    none. Each step is a column of its own, so that none is worked out once per element.
+    A text of fewer than ``K`` words, or of which no run is an anchor (only with five or six words), has
+    one anchor, made of them all; one without words, or NULL, and no other, has none. Each step is a column of its own, so that none is worked out once per element.
     """
     w, h, p, at = (f"_{name}_{c}" for c in "whpi")
     plain = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANKS))
@@ -39,7 +39,7 @@ def with_anchors(rows: DataFrame, text: str, name: str) -> DataFrame:
     rows = rows.withColumn(at, F.filter(F.sequence(F.lit(0), F.size(p) - K + 1), lambda i: edge(i) <= inner(i)))
     kmer = lambda i: F.shiftright(F.xxhash64(*(pair(i, j) for j in range(0, K - 1, 2)), F.get(h, i + K - 1)), 32).cast("int")
     short = F.when(plain == "", F.array().cast("array<int>")).otherwise(F.array(F.shiftright(F.xxhash64(F.concat_ws(" ", w)), 32).cast("int")))
-    return rows.withColumn(name, F.when(F.size(h) >= K, F.transform(at, kmer)).otherwise(short)).drop(w, h, p, at)
+    return rows.withColumn(name, F.when(F.size(at) > 0, F.transform(at, kmer)).otherwise(short)).drop(w, h, p, at)
 
 
 def as_string(anchors: str) -> Column:
@@ -47,7 +47,8 @@ def as_string(anchors: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    """Shared distinct anchors against all of both (Dice); two texts without anchors are alike."""
+    """Shared distinct anchors against all of both (Dice); two texts without anchors, and so
+    without words, are alike."""
     both = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b))
     return F.when(both == 0, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both)
 
