@@ -29,9 +29,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder, and read back: lineage ends there, and a lost
     executor costs nothing."""
+    return stored_at(df, label)[0]
+
+
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the path, so that the table can be removed when a newer one replaces it."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from trolley.llm.centroids import CENTROIDS, DIMENSIONS, ROUNDS, SCALE, SEED
 from trolley.llm.licenses import TEMPLATES, TERM, THRESHOLD
+from trolley.llm.quality_rules import COVERED_PERCENT, LEAST, LONGEST, MIN_WORDS, WINDOW, WINDOW_PERCENT
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -126,4 +128,70 @@ LEFT JOIN holders b ON b.dir = parts[1]
 LEFT JOIN holders c ON c.dir = ''
 """
 
-SQL = {"op1_chat_format": OP1, "op2_jaccard": OP2, "op6_neighbours": OP6, "op7_line_dedup": OP7, "op8_licenses": OP8}
+
+
+def _round(i: int) -> str:
+    """Round i: every vector to its nearest centroid, then the floor of the mean of each component."""
+    return f"""
+, a{i} AS MATERIALIZED ({_assigned(i)}), s{i} AS (
+    SELECT cluster, part, sum(x[part])::HUGEINT AS s, count(*)::HUGEINT AS n
+    FROM a{i}, range(1, {DIMENSIONS + 1}) AS r(part) GROUP BY ALL
+), m{i} AS (
+    SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY part) AS c FROM s{i} GROUP BY cluster
+), c{i + 1} AS MATERIALIZED (SELECT j, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} ON j = cluster)"""
+
+
+def _assigned(i: int) -> str:
+    return f"""
+    SELECT vec_id, x, (best).j::INT AS cluster, (best).d AS distance FROM (
+        SELECT vec_id, x, min({{'d': list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'j': j}}) AS best
+        FROM vectors, c{i} GROUP BY vec_id, x)"""
+
+
+OP11 = f"""
+WITH vectors AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda v: floor({SCALE} * v::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE len(embedding) = {DIMENSIONS} AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id)) - 1 AS j, x AS c FROM vectors
+    QUALIFY j < {CENTROIDS}
+) {''.join(map(_round, range(ROUNDS)))}, final AS MATERIALIZED ({_assigned(ROUNDS)})
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+    sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM final JOIN c{ROUNDS} ON j = cluster
+"""
+
+
+def _repeated(size: int) -> str:
+    """Words of each document in windows of ``size`` words that it has twice or more."""
+    return f"""
+    SELECT doc_id, count(DISTINCT place) AS n FROM (
+        SELECT doc_id, unnest(range(first, first + {size})) AS place FROM (
+            SELECT doc_id, unnest(range(1, len(w) - {size - 2})) AS first,
+                unnest(list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))) AS gram
+            FROM words WHERE len(w) >= {size})
+        QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1)
+    GROUP BY doc_id"""
+
+
+OP12 = f"""
+WITH words AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), base AS (
+    SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        list_filter(split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS own
+    FROM words
+), windows AS ({_repeated(WINDOW)}), runs AS ({_repeated(LEAST)}), long AS ({_repeated(LONGEST + 1)}), measured AS (
+    SELECT doc_id, n_words, word_chars, n_symbols, (len(own) - len(list_distinct(own)))::BIGINT AS n_dup_lines,
+        coalesce(windows.n, 0) AS n_repeat_words, coalesce(runs.n, 0) AS n_covered, long.n IS NOT NULL AS too_long
+    FROM base LEFT JOIN windows USING (doc_id) LEFT JOIN runs USING (doc_id) LEFT JOIN long USING (doc_id)
+), judged AS (
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {WINDOW_PERCENT} * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT too_long AND 100 * n_covered <= {COVERED_PERCENT} * n_words AS kept
+FROM judged
+"""
+
+SQL = {"op1_chat_format": OP1, "op2_jaccard": OP2, "op6_neighbours": OP6, "op7_line_dedup": OP7, "op8_licenses": OP8, "op11_centroids": OP11, "op12_quality_rules": OP12}

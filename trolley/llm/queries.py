@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import chat, fingerprints, jaccard, licenses, line_dedup, neighbours, packing, sentencepieces, sharding, toxicity
+from trolley.llm import (
+    alignment,
+    centroids,
+    chat,
+    fingerprints,
+    jaccard,
+    licenses,
+    line_dedup,
+    neighbours,
+    packing,
+    quality_rules,
+    sentencepieces,
+    sharding,
+    toxicity,
+)
 from trolley.llm.common import table
 
 #: A conversation whose texts look like marks.
@@ -67,6 +81,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.clustered(table(spark, sf_dir, "embeddings")))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.judged(quality_rules.measured(table(spark, sf_dir, "documents"), ["doc_id"]))
+    return rows.drop("n_covered_words", "longest_repeat")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_counts(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,5 +112,8 @@ QUERIES = {
         op8_licenses,
         op9_packing,
         op10_toxicity,
+        op11_centroids,
+        op12_quality_rules,
+        op13_alignment,
     )
 }
