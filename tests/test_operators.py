@@ -63,11 +63,15 @@ def test_windows_against_counting(spark, rows):
                 expected[key] = expected.get(key, 0) + 1
     straight = windows.sliding_counts(events, "purchase", "arrival_ts", "6 seconds", "1 second")
     by_slide = windows.sliding_counts_by_slide(
-        events, "purchase", "arrival_ts", "6 seconds", "1 second", 6
+        events, "purchase", "arrival_ts", "6 seconds", "1 second"
     )
     for result in (straight, by_slide):
         got = result.select("product_id", (F.unix_millis("window_start") / 1000).cast("int"), "cnt")
         assert {(r[0], r[1]): r[2] for r in got.collect()} == expected
+    odd = ("purchase", "arrival_ts", "3 seconds", "2 seconds")  # made of panes of one second
+    assert windows.pane_width(*odd[2:]) == "1000000 microseconds"
+    straight_odd, by_panes = windows.sliding_counts(events, *odd), windows.sliding_counts_by_slide(events, *odd)
+    assert straight_odd.exceptAll(by_panes).count() == 0 and by_panes.exceptAll(straight_odd).count() == 0
     latest = windows.latest_counts(events, "purchase", "arrival_ts", "1 second")
     assert latest.exceptAll(windows.latest_of(straight)).count() == 0
 

@@ -3,6 +3,7 @@
 import json
 import random
 import time
+from datetime import datetime, timezone
 
 import oracle
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
 from trolley.plans import dashboard
-from trolley.sources import event_table, raw_csv, tables, topic
+from trolley.sources import event_table, manifest, raw_csv, tables, topic
 from trolley.streaming import jobs
 
 KINDS = ["view", "cart", "purchase", "remove_from_cart", "signup"]
@@ -74,12 +75,12 @@ def test_windows_equal_batch(spark, tmp_path, seed):
     rows = shop(seed)
     folder = in_parts(tmp_path, rows)
     batch = make_events(spark, rows)
-    for job, name, twin in (
-        (jobs.purchase_windows, "purchase_windows", windows.purchase_windows),
-        (jobs.removal_windows, "removal_windows", windows.removal_windows),
+    for job, read, twin in (
+        (jobs.purchase_windows, dashboard.purchase_windows, windows.purchase_windows),
+        (jobs.removal_windows, dashboard.removal_windows, windows.removal_windows),
     ):
         run(job, spark, folder, tmp_path / "out")
-        table = tables.read_latest(spark, str(tmp_path / "out"), name, tables.WINDOW_KEYS)
+        table = read(spark, str(tmp_path / "out"))
         assert plain(table.where("product_id <> 'end'")) == plain(twin(batch, "event_ts"))
     for read, kind in ((dashboard.top_purchased, "purchase"), (dashboard.top_removed, "remove_from_cart")):
         latest = windows.latest_counts(make_events(spark, rows + end_rows()), kind, "event_ts", "1 second")
@@ -96,7 +97,7 @@ def test_windows_by_arrival(spark, tmp_path):
     time.sleep(4)
     write_file(tmp_path / "in", "1.json", buys)
     run(jobs.purchase_windows, spark, tmp_path / "in", root, **how)
-    rows = tables.read_latest(spark, str(root), "purchase_windows", tables.WINDOW_KEYS).collect()
+    rows = dashboard.purchase_windows(spark, str(root)).collect()
     assert [(r.product_id, r.cnt) for r in rows] == [("a", 5)] * 6
     assert {(r.window_end - r.window_start).seconds for r in rows} == {3}
 
@@ -105,7 +106,6 @@ def test_running_totals_equal_batch_and_survive_a_restart(spark, tmp_path):
     rows = shop(1)
     write_file(tmp_path / "in", "0.json", rows[:100])
     root = tmp_path / "out"
-    keyed = {"user_activity": ["user_id"], "user_product": ["user_id", "product_id"]}
     run(jobs.user_activity, spark, tmp_path / "in", root)
     run(jobs.user_product, spark, tmp_path / "in", root)
     write_file(tmp_path / "in", "1.json", rows[100:])
@@ -113,9 +113,9 @@ def test_running_totals_equal_batch_and_survive_a_restart(spark, tmp_path):
         run(jobs.user_activity, spark, tmp_path / "in", root)
         run(jobs.user_product, spark, tmp_path / "in", root)
         batch = make_events(spark, rows)
-        totals = tables.read_latest(spark, str(root), "user_activity", keyed["user_activity"])
+        totals = tables.read_latest(spark, str(root), "user_activity")
         assert plain(totals) == plain(activity.user_activity(batch))
-        pairs = tables.read_latest(spark, str(root), "user_product", keyed["user_product"])
+        pairs = tables.read_latest(spark, str(root), "user_product")
         assert plain(pairs) == plain(affinity.user_product(batch))
     assert tables.read_batches(spark, str(root), "user_activity").agg(F.max("batch_id")).first()[0] == 1
 
@@ -148,6 +148,24 @@ def test_abandonment_of_a_busy_session(spark, tmp_path):
     assert plain(tables.read_rows(spark, root, "abandonment_log")) == plain(log)
 
 
+def test_marks_of_a_session_come_in_many_chunks(spark, tmp_path):
+    """Five rows a chunk: the marks of a micro-batch are set aside and worked off by stretches of time."""
+    rows = [r | {"user_session": "busy" if i % 3 else "calm"} for i, r in enumerate(shop(1, 400))]
+    # Nothing is abandoned after the first purchase of a session, so that comes late.
+    rows = [r | {"event_type": "cart"} if r["event_type"] == "purchase" and r["event_time"] < at(300) else r for r in rows]
+    folder = in_parts(tmp_path, rows, 2)
+    root = str(tmp_path / "out")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(size, "5")
+    try:
+        run(jobs.abandonment_log, spark, folder, root)
+    finally:
+        spark.conf.unset(size)
+    log = abandonment.abandonment_log(abandonment.firings(make_events(spark, rows), "event"))
+    assert log.count() > 50
+    assert plain(tables.read_rows(spark, root, "abandonment_log")) == plain(log)
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_abandonment_equals_batch(spark, tmp_path, seed):
     rows = shop(seed, 400)
@@ -263,37 +281,53 @@ def test_reset_empties_every_table(spark, tmp_path):
     assert tuples(dashboard.abandoned_pages(spark, root)) == [(0, 1)]
     run(jobs.user_activity, spark, tmp_path / "in", root, checkpoints=str(tmp_path / "fresh"))
     batch = activity.user_activity(make_events(spark, shop(0, 50)))
-    assert plain(tables.read_latest(spark, root, "user_activity", ["user_id"])) == plain(batch)
+    assert plain(tables.read_latest(spark, root, "user_activity")) == plain(batch)
 
 
-def test_compact_keeps_the_content_and_the_job_goes_on(spark, tmp_path):
-    old, new = str(tmp_path / "out"), str(tmp_path / "new")
+def test_compacting_beside_a_job_that_goes_on(spark, tmp_path):
+    root, check = str(tmp_path / "out"), str(tmp_path / "check")
     rows = shop(0, 90)
-    check = str(tmp_path / "check")
     for i in range(2):
         write_file(tmp_path / "in", f"{i}.json", rows[i * 30 : i * 30 + 30])
-        run(jobs.user_activity, spark, tmp_path / "in", old, checkpoints=check)
-    tables.compact(spark, old, "user_activity", new, ["user_id"])
+        run(jobs.user_activity, spark, tmp_path / "in", root, checkpoints=check)
+    assert tables.compact(spark, root, "user_activity", 1, grace=0)
     # A restart may run the newest batch again: it replaces that batch only.
-    before = plain(tables.read_latest(spark, new, "user_activity", ["user_id"]))
-    newest = tables.read_batches(spark, old, "user_activity").where("batch_id = 1").drop("batch_id")
-    tables.batch_writer(new, "user_activity")(newest, 1)
-    assert plain(tables.read_latest(spark, new, "user_activity", ["user_id"])) == before
+    before = plain(tables.read_latest(spark, root, "user_activity"))
+    newest = tables.read_batches(spark, root, "user_activity").where("batch_id = 1").drop("batch_id").collect()
+    newest = spark.createDataFrame(newest, tables.RESULT_SCHEMAS["user_activity"])
+    tables.batch_writer(root, "user_activity")(newest, 1)
+    assert plain(tables.read_latest(spark, root, "user_activity")) == before
     write_file(tmp_path / "in", "2.json", rows[60:])
-    run(jobs.user_activity, spark, tmp_path / "in", new, checkpoints=check)
-    totals = tables.read_latest(spark, new, "user_activity", ["user_id"])
+    run(jobs.user_activity, spark, tmp_path / "in", root, checkpoints=check)
+    totals = tables.read_latest(spark, root, "user_activity")
     assert plain(totals) == plain(activity.user_activity(make_events(spark, rows)))
 
 
-def test_compacted_log_survives_a_retry(spark, tmp_path):
-    old, new = str(tmp_path / "old"), str(tmp_path / "new")
-    write = tables.batch_writer(old, "abandonment_log")
-    rows = [spark.createDataFrame([(f"s{i}", None)] * 10, "user_session string, fired_at timestamp") for i in range(3)]
-    for i, batch in enumerate(rows):
-        write(batch, i)
-    tables.compact(spark, old, "abandonment_log", new)
-    tables.batch_writer(new, "abandonment_log")(rows[2], 2)
-    assert plain(tables.read_rows(spark, new, "abandonment_log")) == plain(tables.read_rows(spark, old, "abandonment_log"))
+def test_compacting_by_the_job_itself(spark, tmp_path):
+    """Every micro-batch folds the ones before; the windows and top lists are as without."""
+    rows = shop(0, 120)
+    folder = in_parts(tmp_path, rows, 6)
+    run(jobs.purchase_windows, spark, folder, tmp_path / "out", compact_every=1)
+    run(jobs.purchase_windows, spark, folder, tmp_path / "plain")
+    for read in (dashboard.purchase_windows, dashboard.top_purchased):
+        assert plain(read(spark, str(tmp_path / "out"))) == plain(read(spark, str(tmp_path / "plain")))
+    assert manifest.current(spark, str(tmp_path / "out" / "purchase_panes")).runs
+    assert not manifest.current(spark, str(tmp_path / "plain" / "purchase_panes")).runs
+
+
+def test_state_has_a_row_per_pane(spark, tmp_path):
+    """One purchase of each product every five seconds: one pane each, where there are three windows."""
+    buys = [{"event_type": "purchase", "product_id": f"p{i % 3}", "user_id": 1, "event_time": at(5 * i)} for i in range(60)]
+    write_file(tmp_path / "in", "0.json", buys)
+    query = jobs.purchase_windows(events_from(spark, tmp_path / "in"), str(tmp_path / "out"), delay="1 day")
+    query.awaitTermination()
+    state = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+    assert state == 60 == tables.read_rows(spark, str(tmp_path / "out"), "purchase_panes").count()
+    assert dashboard.purchase_windows(spark, str(tmp_path / "out")).count() == 180
+    some = dashboard.product_windows(spark, str(tmp_path / "out"), ["p1"])
+    assert plain(some) == plain(windows.purchase_windows(make_events(spark, buys), "event_ts").where("product_id = 'p1'"))
+    with pytest.raises(ValueError, match="multiple"):
+        jobs.purchase_windows(events_from(spark, tmp_path / "in"), str(tmp_path / "x"), window=("3 seconds", "2 seconds"))
 
 
 def test_windows_show_without_a_later_purchase(spark, tmp_path):
@@ -301,7 +335,7 @@ def test_windows_show_without_a_later_purchase(spark, tmp_path):
     views = [{"event_type": "view", "product_id": "p", "user_id": 1, "user_session": "s", "event_time": at(END)}]
     write_file(tmp_path / "in", "0.json", buys + views)
     run(jobs.purchase_windows, spark, tmp_path / "in", tmp_path / "out")
-    table = tables.read_latest(spark, str(tmp_path / "out"), "purchase_windows", tables.WINDOW_KEYS)
+    table = dashboard.purchase_windows(spark, str(tmp_path / "out"))
     assert plain(table) == plain(windows.purchase_windows(make_events(spark, buys), "event_ts"))
 
 
@@ -387,3 +421,112 @@ def test_a_session_may_be_forgotten(spark, tmp_path):
     assert "s" in found
     with pytest.raises(ValueError, match="forgotten"):
         jobs.abandonment_log(events_from(spark, tmp_path / "in"), str(root), forget=5)
+
+
+def test_a_job_reads_only_the_fields_it_needs(spark, tmp_path):
+    rows = [json.dumps(r) for r in shop(0, 40)] + ["{", "[1]", "", '{"user_id": 1', '{"event_type": "view", "user_id": {"a": 1}}', '{"product_id": [1, }']
+    lines = spark.createDataFrame([(r,) for r in rows], "value string")
+    whole = topic.parse(lines)
+    for job, columns in jobs.COLUMNS.items():
+        part = topic.parse(lines, columns)
+        names = ["value", "problem", *columns, "arrival_ms", "ordinal"]
+        assert set(part.columns) <= {*names, "event_ts"}
+        assert tuples(part.select(*names)) == tuples(whole.select(*names)), job
+    plan = topic.parse(lines, jobs.COLUMNS["purchase_windows"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructField(event_time" in plan and "StructField(price" not in plan and "StructField(user_id" not in plan
+    write_file(tmp_path / "in", "0.json", shop(0, 40))
+    events = topic.accepted(topic.parse(topic.read_lines_stream(spark, str(tmp_path / "in")), jobs.COLUMNS["purchase_windows"]))
+    jobs.purchase_windows(events, str(tmp_path / "out")).awaitTermination()
+    assert plain(dashboard.purchase_windows(spark, str(tmp_path / "out"))) == plain(windows.purchase_windows(make_events(spark, shop(0, 40)), "event_ts"))
+
+
+def csv_rows(n):
+    header = "event_time,event_type,product_id,category_id,price,user_id,user_session"
+    rows = [f"2020-01-01 00:00:0{i % 10} UTC,view,p{i},1,2.5,{'x' if i % 50 == 3 else 7},s" for i in range(n)]
+    return "\n".join([header, *rows]) + "\n"
+
+
+def test_rejected_rows_of_a_replay_are_kept(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text(csv_rows(60))
+    raw = raw_csv.read_raw_csv_stream(spark, str(tmp_path / "csv"), csv_rows(0).strip().split(","))
+    jobs.replay_rejects(raw, str(tmp_path / "out")).awaitTermination()
+    rows = tables.read_rows(spark, str(tmp_path / "out"), "rejects").collect()
+    assert {r.reason for r in rows} == {"bad_user_id"}
+    assert sorted(json.loads(r.value)["product_id"] for r in rows) == ["p3", "p53"]
+
+
+def test_replay_by_pace_survives_a_restart(spark, tmp_path):
+    """Forty rows a second; stopped and started again, every row comes once and in order."""
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text(csv_rows(600))
+    jobs.prepare_replay(raw_csv.read_raw_csv(spark, str(tmp_path / "csv")), str(tmp_path / "rows"))
+    where = {"checkpoint": str(tmp_path / "check"), "folder": str(tmp_path / "topic"), "per_second": 40}
+
+    def sent():
+        if not (tmp_path / "topic").exists():
+            return []
+        return [json.loads(line)["product_id"] for f in sorted((tmp_path / "topic").iterdir()) for p in sorted(f.glob("part-*")) for line in p.read_text().splitlines()]
+
+    marks = []
+    for wanted in (120, 588):
+        query = jobs.replay_by_pace(spark, str(tmp_path / "rows"), **where)
+        try:
+            deadline = time.time() + 60
+            while time.time() < deadline and len(sent()) < wanted:
+                assert query.exception() is None
+                time.sleep(0.2)
+                done = [p for p in query.recentProgress if p["numInputRows"]]
+                marks += [(p["batchId"], p["sources"][0]["endOffset"]) for p in done]
+        finally:
+            query.stop()
+    good = [f"p{i}" for i in range(600) if i % 50 != 3]
+    assert sent() == good
+    # The clock's offset is in seconds; a micro-batch ends at 40 rows for each.
+    folders = sorted((tmp_path / "topic").iterdir())
+    ends = dict(marks)
+    for folder in folders:
+        number = int(folder.name)
+        if number in ends:
+            so_far = sum(len(p.read_text().splitlines()) for f in folders if f.name <= folder.name for p in f.glob("part-*"))
+            assert so_far == min(len(good), 40 * int(ends[number]))
+    assert topic.read_lines(spark, str(tmp_path / "topic")).count() == len(good)
+    again = topic.read_lines(spark, str(tmp_path / "topic")).limit(1)
+    topic.write_lines_once(again, str(folders[0]))  # a micro-batch run again writes nothing
+    assert sent() == good
+
+
+def test_state_of_totals_expires_and_reads_agree(spark, tmp_path):
+    """Ten periods of an hour, one micro-batch each, with other users in each."""
+    base = {"event_type": "view", "product_id": "p"}
+    rows = [base | {"user_id": 10 * hour + i % 10, "arrival_ms": 3_600_000 * hour + i} for hour in range(10) for i in range(30)]
+    rows += [base | {"event_type": "cart", "user_id": 3, "arrival_ms": 3_600_000 * 9 + 5}]
+    events = make_events(spark, rows)
+    for hour in range(10):
+        part = events.where(F.floor(F.col("arrival_ms") / 3_600_000) == hour)
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)  # files are taken in the order of their times
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    root = str(tmp_path / "out")
+    for job, name in ((jobs.user_activity_periods, "user_activity_periods"), (jobs.user_product_periods, "user_product_periods")):
+        query = job(stream, root, width="1 hour", delay="10 minutes", compact_every=3)
+        query.awaitTermination()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]]
+        assert len(held) == 10 and max(held) <= 31  # of a hundred users
+        # Pairs leave out user 0.
+        assert tables.read_latest(spark, root, name).count() == 101 - (name == "user_product_periods")
+    totals = activity.total(tables.read_latest(spark, root, "user_activity_periods"))
+    assert plain(totals) == plain(activity.user_activity(events))
+    assert plain(dashboard.top_users_since(spark, root)) == plain(ranking.top_users(activity.user_activity(events)))
+    since = datetime.fromtimestamp(9 * 3600, timezone.utc)
+    recent = activity.user_activity(events.where("arrival_ms >= 9 * 3600000"))
+    assert plain(dashboard.top_users_since(spark, root, since)) == plain(ranking.top_users(recent))
+    assert plain(affinity.total(tables.read_latest(spark, root, "user_product_periods"))) == plain(affinity.user_product(events))
+    assert tuples(dashboard.unconverted_since(spark, root, 93)) == [(93, "p", 3)]
+    assert tuples(dashboard.unconverted_since(spark, root, 3)) == []  # in the cart in the last period
+    assert tuples(dashboard.unconverted_since(spark, root, 13, since)) == []
+    # What has expired goes when the table is compacted; reads from then on are as before.
+    tables.compact(spark, root, "user_activity_periods", 1, 0, F.col("period_start") < F.lit(since))
+    assert plain(dashboard.top_users_since(spark, root, since)) == plain(ranking.top_users(recent))
+    left = tables.read_latest(spark, root, "user_activity_periods").where(F.col("period_start") < F.lit(since))
+    assert left.count() < 90

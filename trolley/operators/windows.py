@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,34 +31,47 @@ def sliding_counts(events: DataFrame, kind: str, time_col: str, size: str, slide
     )
 
 
-def sliding_counts_by_slide(
-    events: DataFrame, kind: str, time_col: str, size: str, slide: str, ratio: int
-) -> DataFrame:
-    """The same counts for windows many slides long (``size`` = ``ratio`` x ``slide``), batch only.
+def pane_width(size: str, slide: str) -> str:
+    """The widest panes that windows of ``size`` every ``slide`` are made of."""
+    return f"{math.gcd(microseconds(size), microseconds(slide))} microseconds"
+
+
+def microseconds(interval: str) -> int:
+    """An interval such as ``3 seconds`` or ``1 hour``."""
+    return pd.Timedelta(interval).value // 1000
+
 
-    Rows are first counted per slide, then the counts are expanded and summed, so the expansion
-    works on one row per product and slide instead of on every event.
+def panes(events: DataFrame, kind: str, time_col: str, width: str) -> DataFrame:
+    """Count events of one type per product and pane: windows that don't overlap.
+
+    One row, and on a stream one row of state, per product and pane that has events.
     """
-    per_slide = (
+    return (
         events.where((F.col("event_type") == kind) & F.col("product_id").isNotNull())
-        .groupBy("product_id", F.window(time_col, slide).alias("w"))
+        .groupBy("product_id", F.window(time_col, width).alias("w"))
         .agg(F.count("*").alias("cnt"))
+        .select("product_id", F.col("w.start").alias("pane_start"), "cnt")
     )
-    step = F.expr(f"INTERVAL {slide}")
-    back = F.explode(F.sequence(F.lit(0), F.lit(ratio - 1))).alias("back")
+
+
+def windows_of(counted: DataFrame, size: str, slide: str) -> DataFrame:
+    """The sliding counts that panes of ``pane_width`` add up to."""
     return (
-        per_slide.select("product_id", F.col("w.start").alias("start"), "cnt", back)
-        .groupBy("product_id", (F.col("start") - step * F.col("back")).alias("window_start"))
+        counted.groupBy("product_id", F.window("pane_start", size, slide).alias("w"))
         .agg(F.sum("cnt").alias("cnt"))
-        .select(
-            "product_id",
-            "window_start",
-            (F.col("window_start") + F.expr(f"INTERVAL {size}")).alias("window_end"),
-            "cnt",
-        )
+        .select("product_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt")
     )
 
 
+def sliding_counts_by_slide(events: DataFrame, kind: str, time_col: str, size: str, slide: str) -> DataFrame:
+    """The same as ``sliding_counts`` for windows many slides long, through panes.
+
+    Rows are first counted per pane, then the counts are expanded and summed, so the expansion works
+    on one row per product and pane instead of on every event.
+    """
+    return windows_of(panes(events, kind, time_col, pane_width(size, slide)), size, slide)
+
+
 def latest_of(windows: DataFrame) -> DataFrame:
     """Per product, the count of its latest window (what an overwrite per product leaves)."""
     return windows.groupBy("product_id").agg(

@@ -21,7 +21,7 @@ from trolley.sources.event_table import (
     read_table_stream,
     shopping_events,
 )
-from trolley.sources.tables import WINDOW_KEYS, read_latest, read_rows
+from trolley.sources.tables import read_latest, read_rows
 from trolley.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,10 +135,18 @@ def _end_of_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     return spark.readStream.schema(table.schema).parquet(f"{root}/end_of_stream")
 
 
-def _live(spark: SparkSession, sf_dir: str, *started, ended: bool = False) -> str:
+def _in_parts(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    """The events table as a stream of so many micro-batches, in no order."""
+    folder = f"{shared_dir(spark)}/parts-{uuid.uuid4().hex}"
+    table = read_table(spark, sf_dir)
+    table.repartitionByRange(parts, "event_id").write.parquet(f"{folder}/events.parquet")
+    return read_table_stream(spark, folder, 1)
+
+
+def _live(spark: SparkSession, sf_dir: str, *started, ended: bool = False, parts: int = 0) -> str:
     """Run live jobs over the events table as a stream, to its end; returns the tables' root."""
     root = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
-    rows = read_table_stream(spark, sf_dir)
+    rows = _in_parts(spark, sf_dir, parts) if parts else read_table_stream(spark, sf_dir)
     if ended:
         rows = rows.unionByName(_end_of_stream(spark, sf_dir, root))
     for query in [job(as_shopping_events(rows), root) for job in started]:
@@ -146,16 +154,27 @@ def _live(spark: SparkSession, sf_dir: str, *started, ended: bool = False) -> st
     return root
 
 
-def _live_rows(spark: SparkSession, sf_dir: str, job) -> DataFrame:
-    """The table a job leaves, with zone-free times."""
-    root, name = _live(spark, sf_dir, job), job.__name__
-    windowed = name in ("purchase_windows", "removal_windows")
-    rows = read_latest(spark, root, name, WINDOW_KEYS) if windowed else read_rows(spark, root, name)
+def _live_compacted(spark: SparkSession, sf_dir: str, job) -> str:
+    """The job in seven micro-batches, with its tables compacted in between."""
+    return _live(spark, sf_dir, partial(job, compact_every=2), parts=7)
+
+
+#: For a stream whose files come in no order.
+NEVER_LATE = "3650 days"
+
+
+def _plain_times(rows: DataFrame) -> DataFrame:
+    """Zone-free times."""
     return rows.select(
         *[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else c for c, t in rows.dtypes]
     )
 
 
+def _live_rows(spark: SparkSession, sf_dir: str, job) -> DataFrame:
+    """The table a job leaves."""
+    return _plain_times(read_rows(spark, _live(spark, sf_dir, job), job.__name__))
+
+
 def _live_log(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
     root = _live(spark, sf_dir, partial(jobs.abandonment_log, clock=clock), ended=True)
     return read_rows(spark, root, "abandonment_log").withColumn("fired_at", F.col("fired_at").cast("timestamp_ntz"))
@@ -177,7 +196,7 @@ QUERIES: dict[str, Query] = {
         shopping_events(s, d, BOUGHT), "event_ts", ("3 hours", "1 hour")
     ),
     "purchase_windows_by_slide": lambda s, d: windows.sliding_counts_by_slide(
-        shopping_events(s, d, BOUGHT), PURCHASE, "event_ts", "24 hours", "1 hour", 24
+        shopping_events(s, d, BOUGHT), PURCHASE, "event_ts", "24 hours", "1 hour"
     ),
     "latest_purchases": lambda s, d: windows.latest_counts(
         shopping_events(s, d, BOUGHT), PURCHASE, "arrival_ts", "1 second"
@@ -219,8 +238,12 @@ QUERIES: dict[str, Query] = {
     "event_json_roundtrip": _json_roundtrip,
     "json_rejects": _json_rejects,
     "csv_replay": _csv_replay,
-    "stream_purchase_windows": lambda s, d: _live_rows(s, d, jobs.purchase_windows),
-    "stream_removal_windows": lambda s, d: _live_rows(s, d, jobs.removal_windows),
+    "stream_purchase_windows": lambda s, d: _plain_times(
+        dashboard.purchase_windows(s, _live(s, d, jobs.purchase_windows))
+    ),
+    "stream_removal_windows": lambda s, d: _plain_times(
+        dashboard.removal_windows(s, _live(s, d, jobs.removal_windows))
+    ),
     "stream_user_activity": lambda s, d: _live_rows(s, d, jobs.user_activity),
     "stream_user_product": lambda s, d: _live_rows(s, d, jobs.user_product),
     "stream_abandonment_log": lambda s, d: _live_log(s, d, "event"),
@@ -232,4 +255,16 @@ QUERIES: dict[str, Query] = {
         s, _live(s, d, jobs.user_product), 15, 2
     ),
     "dashboard_abandoned_page": _live_page,
+    "compacted_purchase_windows": lambda s, d: _plain_times(
+        dashboard.purchase_windows(s, _live_compacted(s, d, partial(jobs.purchase_windows, delay=NEVER_LATE)))
+    ),
+    "compacted_top_purchased": lambda s, d: dashboard.top_purchased(
+        s, _live_compacted(s, d, partial(jobs.purchase_windows, delay=NEVER_LATE))
+    ),
+    "compacted_user_activity": lambda s, d: read_latest(
+        s, _live_compacted(s, d, jobs.user_activity), "user_activity"
+    ),
+    "compacted_for_user": lambda s, d: dashboard.unconverted_for_user(
+        s, _live_compacted(s, d, jobs.user_product), 15, 2
+    ),
 }

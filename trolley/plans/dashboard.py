@@ -2,36 +2,64 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import abandonment, affinity, ranking
-from trolley.schema import MIN_VIEWS, PAGE_SIZE
-from trolley.sources.tables import read_latest, read_rows
+from trolley.operators import abandonment, activity, affinity, ranking, windows
+from trolley.schema import MIN_VIEWS, PAGE_SIZE, PURCHASE_WINDOW, REMOVAL_WINDOW
+from trolley.sources.tables import lookup, read_latest, read_rows
+
+
+def purchase_windows(spark: SparkSession, root: str, window: tuple[str, str] = PURCHASE_WINDOW) -> DataFrame:
+    """The windows of a live job, summed from its panes; ``window`` as the job has it, or of another
+    size that is a multiple of its slide."""
+    return windows.windows_of(read_latest(spark, root, "purchase_panes"), *window)
+
+
+def removal_windows(spark: SparkSession, root: str, window: tuple[str, str] = REMOVAL_WINDOW) -> DataFrame:
+    return windows.windows_of(read_latest(spark, root, "removal_panes"), *window)
+
+
+def product_windows(spark: SparkSession, root: str, products: list[str], window: tuple[str, str] = PURCHASE_WINDOW) -> DataFrame:
+    """The purchase windows of a few products, from the files that hold them."""
+    return windows.windows_of(lookup(spark, root, "purchase_panes", products), *window)
 
 
 def top_purchased(spark: SparkSession, root: str) -> DataFrame:
-    return ranking.top_products(read_latest(spark, root, "latest_purchases", ["product_id"], ("window_start",)))
+    return ranking.top_products(read_latest(spark, root, "latest_purchases"))
 
 
 def top_removed(spark: SparkSession, root: str) -> DataFrame:
-    return ranking.top_products(read_latest(spark, root, "latest_removals", ["product_id"], ("window_start",)))
+    return ranking.top_products(read_latest(spark, root, "latest_removals"))
 
 
 def top_users(spark: SparkSession, root: str) -> DataFrame:
-    return ranking.top_users(read_latest(spark, root, "user_activity", ["user_id"]))
+    return ranking.top_users(read_latest(spark, root, "user_activity"))
 
 
 def unconverted_for_user(
     spark: SparkSession, root: str, user_id: int | None, min_views: int = MIN_VIEWS
 ) -> DataFrame:
     """One user's viewed but never added products; no user, no rows."""
-    pairs = read_latest(spark, root, "user_product", ["user_id", "product_id"])
-    if user_id is None:
-        pairs = pairs.where(F.lit(False))
+    pairs = lookup(spark, root, "user_product", [] if user_id is None else [user_id])
     return affinity.unconverted_views(pairs, min_views, user_id)
 
 
+def top_users_since(spark: SparkSession, root: str, since: datetime | None = None) -> DataFrame:
+    """The top users by the periods from ``since`` on (all, by default) of ``user_activity_periods``."""
+    return ranking.top_users(activity.total(read_latest(spark, root, "user_activity_periods"), since))
+
+
+def unconverted_since(
+    spark: SparkSession, root: str, user_id: int | None, since: datetime | None = None, min_views: int = MIN_VIEWS
+) -> DataFrame:
+    """One user's viewed but never added products by the periods from ``since`` on."""
+    periods = lookup(spark, root, "user_product_periods", [] if user_id is None else [user_id])
+    return affinity.unconverted_views(affinity.total(periods, since), min_views, user_id)
+
+
 def page_with_lists(
     log: DataFrame,
     items: DataFrame,
@@ -45,6 +73,11 @@ def page_with_lists(
     A page has ``size`` rows at most. Up to ``ranking.NEAR`` it is fetched first, once, so that its
     sessions are a filter on both tables, which skips what a table sorted by session holds of others.
     """
+    return _with_lists(log, items, lambda table, sessions: table.where(F.col("user_session").isin(sessions)), number, size, near, clock)
+
+
+def _with_lists(log, items, of_sessions, number: int, size: int, near: int, clock: str) -> DataFrame:
+    """``of_sessions`` gives the rows that the log, and the items, have of a list of sessions."""
     entries = ranking.page(log, number, size, near)
     if size > ranking.NEAR:
         sessions = entries.select("user_session").distinct()
@@ -52,14 +85,20 @@ def page_with_lists(
     else:
         rows = entries.collect()
         entries = log.sparkSession.createDataFrame(rows, entries.schema)
-        here = F.col("user_session").isin(sorted({r["user_session"] for r in rows}))
-        items, log = items.where(here), log.where(here)
+        sessions = sorted({r["user_session"] for r in rows})
+        items, log = of_sessions(items, sessions), of_sessions(log, sessions)
     return ranking.with_products(entries, abandonment.abandoned_carts(items, log, clock), size)
 
 
 def abandoned_page(spark: SparkSession, root: str, number: int = 0, size: int = PAGE_SIZE) -> DataFrame:
-    log = read_rows(spark, root, "abandonment_log")
-    return page_with_lists(log, read_rows(spark, root, "cart_items"), number, size)
+    """The same on the live tables; only files that hold a session of the page are opened for its list."""
+    names = ["abandonment_log", "cart_items"]
+    log, items = (read_rows(spark, root, name) for name in names)
+
+    def of_sessions(table: DataFrame, sessions: list[str]) -> DataFrame:
+        return lookup(spark, root, names[table is items], sessions)
+
+    return _with_lists(log, items, of_sessions, number, size, ranking.NEAR, "event")
 
 
 def abandoned_pages(spark: SparkSession, root: str, size: int = PAGE_SIZE) -> DataFrame:

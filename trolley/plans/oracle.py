@@ -312,4 +312,8 @@ SQL: dict[str, str] = {
     "dashboard_top_users": f"SELECT * FROM ({ACTIVITY}) ORDER BY score DESC, user_id LIMIT 15",
     "dashboard_unconverted_for_user": _unconverted(2, "AND user_id = 15"),
     "dashboard_abandoned_page": LIVE_PAGE,
+    "compacted_purchase_windows": _windows("purchase", "event_ts", 3, 1),
+    "compacted_top_purchased": _top_of("purchase", 3),
+    "compacted_user_activity": ACTIVITY,
+    "compacted_for_user": _unconverted(2, "AND user_id = 15"),
 }

@@ -37,6 +37,10 @@ REPLAY_STEP_MS = 200
 # Ours: how long event-time streams wait for late rows.
 WATERMARK_DELAY = "10 minutes"
 
+# Ours: totals whose state expires are kept per period of arrival, and a period waits so long for rows
+# that arrived in it.
+PERIOD, PERIOD_DELAY = "1 day", "1 hour"
+
 # Schema of one JSON event on the wire. Numbers are read as text and cast afterwards, so that
 # 5, 5.0 and "5" are all accepted and ``_corrupt`` marks broken JSON only.
 WIRE_SCHEMA = T.StructType(
@@ -53,8 +57,8 @@ WIRE_SCHEMA = T.StructType(
 )
 
 RESULT_SCHEMAS = {
-    "purchase_windows": "product_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, cnt BIGINT",
-    "removal_windows": "product_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, cnt BIGINT",
+    "purchase_panes": "product_id STRING, pane_start TIMESTAMP, cnt BIGINT",
+    "removal_panes": "product_id STRING, pane_start TIMESTAMP, cnt BIGINT",
     "latest_purchases": "product_id STRING, window_start TIMESTAMP, cnt BIGINT",
     "latest_removals": "product_id STRING, window_start TIMESTAMP, cnt BIGINT",
     "user_product": "user_id BIGINT, product_id STRING, views BIGINT, added BOOLEAN",
@@ -62,7 +66,28 @@ RESULT_SCHEMAS = {
         "user_id BIGINT, score BIGINT, views BIGINT, cart_adds BIGINT, purchases BIGINT, "
         "removals BIGINT"
     ),
+    "user_activity_periods": (
+        "user_id BIGINT, period_start TIMESTAMP, score BIGINT, views BIGINT, cart_adds BIGINT, purchases BIGINT, "
+        "removals BIGINT"
+    ),
+    "user_product_periods": (
+        "user_id BIGINT, product_id STRING, period_start TIMESTAMP, views BIGINT, added BOOLEAN"
+    ),
     "abandonment_log": "user_session STRING, fired_at TIMESTAMP",
     "cart_items": "user_session STRING, product_id STRING, at_ms BIGINT, ordinal BIGINT",
     "rejects": "value STRING, reason STRING",
 }
+
+# Tables kept up to date: the columns of their key, and those that order a key's versions before the
+# micro-batch does. The others are only added to.
+RESULT_KEYS = {
+    "purchase_panes": (("product_id", "pane_start"), ()),
+    "removal_panes": (("product_id", "pane_start"), ()),
+    # A late event may change a window that is older than the product's latest.
+    "latest_purchases": (("product_id",), ("window_start",)),
+    "latest_removals": (("product_id",), ("window_start",)),
+    "user_product": (("user_id", "product_id"), ()),
+    "user_activity": (("user_id",), ()),
+    "user_activity_periods": (("user_id", "period_start"), ()),
+    "user_product_periods": (("user_id", "product_id", "period_start"), ()),
+}

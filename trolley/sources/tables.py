@@ -1,22 +1,33 @@
 """Result tables: one folder per table, one sub-folder per micro-batch that has rows.
 
 Writing a micro-batch again replaces its own folder only, so a restart never counts twice. Tables
-that a running total keeps up to date hold several versions of a key; the newest batch wins.
+that a running total keeps up to date hold several versions of a key; ``RESULT_KEYS`` says which
+columns are the key, and which order its versions before the batch does.
+
+Beside a running job ``compact`` folds older micro-batches into sorted runs, and runs into larger runs.
+A manifest names the runs that hold a table now, so readers change over at once.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.schema import RESULT_SCHEMAS
-
+from trolley.schema import RESULT_KEYS, RESULT_SCHEMAS
+from trolley.session import hadoop_path
+from trolley.sources import manifest
+from trolley.sources.manifest import Manifest, Run
 
-#: Keys of the tables of windows.
-WINDOW_KEYS = ["product_id", "window_start", "window_end"]
+#: Micro-batches folded at least, and runs of a tier merged.
+FANOUT = 10
+#: Seconds for which replaced folders stay, for readers that have planned with them.
+GRACE = 3600.0
+RUNS, INDEX = "_runs", "_index"
 
 
 def table_path(root: str, name: str) -> str:
@@ -27,9 +38,15 @@ def _schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(RESULT_SCHEMAS[name])
 
 
+def _stored_schema(name: str) -> T.StructType:
+    return _schema(name).add("batch_id", T.LongType())
+
+
 def _write(rows: DataFrame, batch_id: int, root: str, name: str) -> None:
     (
         rows.select(*_schema(name).names, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        # As many files as the rows need, not one per shuffle partition.
+        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
@@ -38,28 +55,47 @@ def _write(rows: DataFrame, batch_id: int, root: str, name: str) -> None:
 
 
 def batch_writer(
-    root: str, name: str, derived: dict[str, Callable[[DataFrame], DataFrame]] | None = None
+    root: str,
+    name: str,
+    derived: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+    compact_every: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function for the table, and for tables worked out from the same rows."""
+    """A ``foreachBatch`` function for the table, and for tables worked out from the same rows.
+
+    With ``compact_every`` the tables are compacted after so many micro-batches, between two of them;
+    without, any other process may do it while the job runs.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not derived:
-            return _write(batch, batch_id, root, name)
-        batch.persist()
+        if derived:
+            batch.persist()
         try:
             _write(batch, batch_id, root, name)
-            for other, reduce in derived.items():
+            for other, reduce in (derived or {}).items():
                 _write(reduce(batch), batch_id, root, other)
         finally:
-            batch.unpersist()
+            if derived:
+                batch.unpersist()
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            for table in (name, *(derived or ())):
+                compact(batch.sparkSession, root, table, min(compact_every, FANOUT))
 
     return write
 
 
 def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """All rows ever written, with their ``batch_id``."""
-    schema = _schema(name).add("batch_id", T.LongType())
-    return spark.read.schema(schema).parquet(table_path(root, name))
+    """All rows the table holds, with the ``batch_id`` they are from. Of a compacted table the versions
+    that a later one has replaced are gone."""
+    table = table_path(root, name)
+    return _read(spark, name, table, manifest.current(spark, table))
+
+
+def _read(spark: SparkSession, name: str, table: str, now: Manifest) -> DataFrame:
+    rows = spark.read.schema(_stored_schema(name)).parquet(table)
+    if not now.runs:
+        return rows
+    runs = spark.read.schema(_stored_schema(name)).parquet(*(f"{table}/{RUNS}/{run.name}" for run in now.runs))
+    return runs.unionByName(rows.where(F.col("batch_id") > now.upto))
 
 
 def read_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -67,14 +103,48 @@ def read_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_batches(spark, root, name).drop("batch_id")
 
 
-def read_latest(
-    spark: SparkSession, root: str, name: str, keys: list[str], by: tuple[str, ...] = ()
-) -> DataFrame:
-    """The newest row per key of a table kept up to date: by the columns ``by``, then by batch.
-    Filters on a key reach the scan."""
-    values = [c for c in _schema(name).names if c not in keys]
-    newest = F.max_by(F.struct(*values), F.struct(*by, "batch_id")).alias("newest")
-    return read_batches(spark, root, name).groupBy(*keys).agg(newest).select(*keys, "newest.*")
+def newest(rows: DataFrame, name: str, keep_batch: bool = False) -> DataFrame:
+    """The newest version of each key of a table kept up to date. Filters on a key reach the scan."""
+    keys, by = RESULT_KEYS[name]
+    values = [c for c in _schema(name).names if c not in keys] + ["batch_id"] * keep_batch
+    last = F.max_by(F.struct(*values), F.struct(*by, "batch_id")).alias("newest")
+    return rows.groupBy(*keys).agg(last).select(*keys, "newest.*")
+
+
+def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest row per key of a table kept up to date."""
+    return newest(read_batches(spark, root, name), name)
+
+
+def lookup(spark: SparkSession, root: str, name: str, values: list) -> DataFrame:
+    """The table's rows whose first column is one of a few ``values``; the newest versions, if it is kept
+    up to date.
+
+    Opens the micro-batches not yet compacted, and of each run the files whose key range holds a value:
+    a number that grows with the logarithm of the micro-batches ever written, if they are compacted.
+    """
+    table = table_path(root, name)
+    now = manifest.current(spark, table)
+    first = _schema(name).names[0]
+    schema = _stored_schema(name)
+    here = F.col(first).isin(values)
+    rows = spark.read.schema(schema).parquet(table).where((F.col("batch_id") > now.upto) & here)
+    files = _files(spark, name, table, now, values) if now.runs and values else []
+    if files:
+        rows = spark.read.schema(schema).parquet(*files).where(here).unionByName(rows)
+    return newest(rows, name) if name in RESULT_KEYS else rows.drop("batch_id")
+
+
+def _files(spark: SparkSession, name: str, table: str, now: Manifest, values: list) -> list[str]:
+    first = _schema(name)[0]
+    index = T.StructType([T.StructField("run", T.StringType()), T.StructField("file", T.StringType())])
+    index = index.add("low", first.dataType).add("high", first.dataType)
+    holds = F.lit(False)
+    for value in values:
+        holds = holds | F.lit(value).cast(first.dataType).between(F.col("low"), F.col("high"))
+    folders = [f"{table}/{RUNS}/{run.name}/{INDEX}" for run in now.runs]
+    found = spark.read.schema(index).parquet(*folders).where(holds).select("run", "file").collect()
+    return [f"{table}/{RUNS}/{r.run}/{r.file}" for r in found]
 
 
 def reset(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(RESULT_SCHEMAS)) -> None:
@@ -84,7 +154,9 @@ def reset(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(RESULT_
     go on with old totals.
     """
     for name in names:
-        empty = spark.createDataFrame([], _schema(name).add("batch_id", T.LongType()))
+        path, files = hadoop_path(spark, f"{table_path(root, name)}/{manifest.FOLDER}")
+        files.delete(path, True)  # First: no manifest may name runs that are gone.
+        empty = spark.createDataFrame([], _stored_schema(name))
         (
             empty.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
@@ -93,26 +165,90 @@ def reset(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(RESULT_
         )
 
 
+def batches_of(spark: SparkSession, table: str) -> list[int]:
+    """Numbers of the micro-batches that have a folder, ascending."""
+    named = [n for n, _ in manifest.children(spark, table) if n.startswith("batch_id=")]
+    return sorted(int(n.removeprefix("batch_id=")) for n in named)
+
+
 def compact(
-    spark: SparkSession, root: str, name: str, into: str, keys: list[str] | None = None
-) -> None:
-    """Write the table's content under another root: all batches but the newest as one.
-
-    The newest batch keeps a folder of its own, since a restart may run it again and replace it. With
-    the query stopped, restart it from its checkpoint on the new root. The old root stays whole until
-    the new one is in use. Rows of an update table (``keys``) are folded to the newest per key and
-    sorted by key, others by their first column, so that lookups skip row groups.
+    spark: SparkSession,
+    root: str,
+    name: str,
+    fanout: int = FANOUT,
+    grace: float = GRACE,
+    expired: Column | None = None,
+) -> bool:
+    """Fold the micro-batches written since the last time into a run; False if there are fewer than
+    ``fanout``, or if another process was faster.
+
+    May run beside the job that writes the table and beside any reader. The newest micro-batch is left
+    alone, since a restart of the job may write it again. ``fanout`` runs of one tier become one of the
+    next (two at least), so a row is rewritten once per tier. Of a table kept up to date a run holds the newest version
+    of each key; a run is sorted by key (else by the first column), in files of about equal size, and an
+    index gives the range of each file. Folders that were replaced stay for ``grace`` seconds. Rows for
+    which ``expired`` holds are left out; a read that skips them as well is the same before and after.
     """
-    batches = read_batches(spark, root, name)
-    last = batches.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return _write(batches.drop("batch_id"), 0, into, name)
-    older = batches.where(F.col("batch_id") < last)
-    if keys:
-        values = [c for c in _schema(name).names if c not in keys]
-        newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
-        older = older.groupBy(*keys).agg(newest).select(*keys, "newest.*")
-    order = keys or _schema(name).names[:1]
-    older = older.repartitionByRange(*order).sortWithinPartitions(*order)
-    _write(older, last - 1, into, name)
-    _write(batches.where(F.col("batch_id") == last), last, into, name)
+    table = table_path(root, name)
+    now = manifest.current(spark, table)
+    ready = [b for b in batches_of(spark, table) if b > now.upto][:-1]
+    if len(ready) < fanout:
+        _sweep(spark, table, grace)
+        return False
+    tier, merged = 0, 0
+    while True:
+        same = [r for r in now.runs if r.tier == tier]
+        if len(same) + 1 < max(2, fanout):
+            break
+        tier, merged = tier + 1, merged + len(same)
+    kept, old = now.runs[: len(now.runs) - merged], now.runs[len(now.runs) - merged :]
+    parts = Manifest(now.version, now.upto, old)
+    rows = _read(spark, name, table, parts).where(F.col("batch_id") <= ready[-1])
+    if not old:
+        rows = rows.where(F.col("batch_id") > now.upto)
+    if expired is not None:
+        rows = rows.where(~F.coalesce(expired, F.lit(False)))
+    first = old[0].first if old else ready[0]
+    run = Run(f"{first}-{ready[-1]}-{uuid.uuid4().hex}", tier, first, ready[-1])
+    _write_run(rows, name, f"{table}/{RUNS}", run.name)
+    done = manifest.publish(spark, table, Manifest(now.version + 1, ready[-1], (*kept, run)), run.name)
+    _sweep(spark, table, grace)
+    return done
+
+
+def _write_run(rows: DataFrame, name: str, runs: str, run: str) -> None:
+    spark, schema = rows.sparkSession, _stored_schema(name)
+    if name in RESULT_KEYS:
+        rows, order = newest(rows, name, keep_batch=True), list(RESULT_KEYS[name][0])
+    else:
+        order = schema.names[:1]
+    rows.select(*schema.names).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{runs}/{run}")
+    first = schema.names[0]
+    written = spark.read.schema(schema).parquet(f"{runs}/{run}").select(first, F.col("_metadata.file_name").alias("file"))
+    ranges = written.groupBy("file").agg(F.min(first).alias("low"), F.max(first).alias("high"))
+    ranges.select(F.lit(run).alias("run"), "file", "low", "high").coalesce(1).write.parquet(f"{runs}/{run}/{INDEX}")
+
+
+def _sweep(spark: SparkSession, table: str, grace: float) -> None:
+    """Delete what only manifests name that were replaced more than ``grace`` seconds ago."""
+    found, until = manifest.versions(spark, table), time.time() - grace
+    valid = [(v, at) for v, at in found if at <= until]
+    if not valid:
+        return
+    # The newest of the old ones was still valid when the grace began; it and all later ones count.
+    still = [manifest.load(spark, table, v) for v, _ in found if v >= valid[-1][0]]
+    named = {run.name for m in still for run in m.runs}
+
+    def delete(child: str) -> None:
+        path, files = hadoop_path(spark, f"{table}/{child}")
+        files.delete(path, True)
+
+    for name, at in manifest.children(spark, f"{table}/{RUNS}"):
+        if name not in named and at <= until:
+            delete(f"{RUNS}/{name}")
+    for batch in batches_of(spark, table):
+        if batch <= still[0].upto:
+            delete(f"batch_id={batch}")
+    for version, _ in found:
+        if version < still[0].version:
+            delete(f"{manifest.FOLDER}/{version}.json")

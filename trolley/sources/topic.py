@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trolley.functions.text import (
     epoch_ms,
@@ -14,6 +15,7 @@ from trolley.functions.text import (
     trim_all,
 )
 from trolley.schema import TOPIC, WIRE_SCHEMA
+from trolley.session import hadoop_path
 
 
 def encode(events: DataFrame) -> DataFrame:
@@ -21,17 +23,41 @@ def encode(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def parse(lines: DataFrame) -> DataFrame:
+def _event_columns() -> dict[str, tuple[str, Column]]:
+    """The columns of an event, but for ``event_ms``: the field each is read from, and how."""
+    raw = {f: F.col(f"_event.{f}") for f in WIRE_SCHEMA.names}
+    return {
+        "event_time": ("event_time", raw["event_time"]),
+        "event_type": ("event_type", raw["event_type"]),
+        "product_id": ("product_id", raw["product_id"]),
+        "category_id": ("category_id", raw["category_id"].try_cast("bigint")),
+        # A bare NaN or Infinity comes out of the JSON reader in quotes.
+        "price": ("price", F.btrim(raw["price"], F.lit('"')).try_cast("double")),
+        "user_id": ("user_id", id_to_bigint(raw["user_id"])),
+        "user_session": ("user_session", raw["user_session"]),
+        "event_ts": ("event_time", to_event_ts(raw["event_time"])),
+        "time_ok": ("event_time", has_time_shape(raw["event_time"])),
+    }
+
+
+def parse(lines: DataFrame, columns: tuple[str, ...] | None = None) -> DataFrame:
     """Parse ``value`` once; ``problem`` tells why a line is no event, else it is NULL.
 
-    A column named ``timestamp`` (the topic's own) becomes the arrival time, ``offset`` the order
-    of arrival.
+    ``columns`` are those wanted of an event (all, by default; ``jobs.COLUMNS`` has what each live job
+    needs): fields that none of them is made of are skipped over. Whether a line is broken does not
+    depend on them. A column named ``timestamp`` (the topic's own) becomes the arrival time,
+    ``offset`` the order of arrival.
     """
-    event = F.from_json("value", WIRE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
+    known = _event_columns()
+    columns = columns or (*known, "event_ms")
+    wanted = {c: known[c] for c in dict.fromkeys("event_ts" if c == "event_ms" else c for c in columns)}
+    fields = {field for field, _ in wanted.values()} | {"_corrupt"}
+    schema = T.StructType([f for f in WIRE_SCHEMA if f.name in fields])
+    event = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
     arrived = epoch_ms(F.col("timestamp")) if "timestamp" in lines.columns else F.lit(None).cast("bigint")
     order = F.col("offset") if "offset" in lines.columns else F.lit(None).cast("bigint")
     is_object = trim_all(F.col("value")).startswith("{")
-    fields = lines.select(
+    parsed = lines.select(
         "value",
         arrived.alias("arrival_ms"),
         order.alias("ordinal"),
@@ -40,25 +66,9 @@ def parse(lines: DataFrame) -> DataFrame:
     problem = F.when(~F.col("_is_object"), "not_an_object").when(
         F.col("_event").isNull() | F.col("_event._corrupt").isNotNull(), "malformed_json"
     )
-    return (
-        fields.select(
-            "value",
-            problem.alias("problem"),
-            F.col("_event.event_time").alias("event_time"),
-            F.col("_event.event_type").alias("event_type"),
-            F.col("_event.product_id").alias("product_id"),
-            F.col("_event.category_id").try_cast("bigint").alias("category_id"),
-            # A bare NaN or Infinity comes out of the JSON reader in quotes.
-            F.btrim("_event.price", F.lit('"')).try_cast("double").alias("price"),
-            id_to_bigint(F.col("_event.user_id")).alias("user_id"),
-            F.col("_event.user_session").alias("user_session"),
-            to_event_ts(F.col("_event.event_time")).alias("event_ts"),
-            has_time_shape(F.col("_event.event_time")).alias("time_ok"),
-            "arrival_ms",
-            "ordinal",
-        )
-        .withColumn("event_ms", epoch_ms(F.col("event_ts")))
-    )
+    own = [column.alias(name) for name, (_, column) in wanted.items()]
+    events = parsed.select("value", problem.alias("problem"), *own, "arrival_ms", "ordinal")
+    return events.withColumn("event_ms", epoch_ms(F.col("event_ts"))) if "event_ms" in columns else events
 
 
 def _lacks(needs: tuple[str, ...]):
@@ -117,12 +127,20 @@ def write_topic(lines: DataFrame, servers: str, topic: str = TOPIC) -> None:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    return spark.read.option("recursiveFileLookup", True).text(path)
 
 
 def read_lines_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.option("recursiveFileLookup", True).text(path)
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("append").text(path)
+
+
+def write_lines_once(lines: DataFrame, path: str) -> None:
+    """Write the lines to a folder of their own, unless it is there and complete."""
+    done, files = hadoop_path(lines.sparkSession, f"{path}/_SUCCESS")
+    if not files.exists(done):
+        lines.select("value").write.mode("overwrite").text(path)

@@ -1,4 +1,4 @@
-"""Cart timers on streams, per session, with state of fixed size.
+"""Cart timers on streams, per session, with state and memory of bounded size.
 
 Rows are combined before they are shuffled to their session, so a busy session costs a few rows
 per millisecond, not all of its rows.
@@ -6,6 +6,7 @@ per millisecond, not all of its rows.
 
 from __future__ import annotations
 
+import itertools
 import sys
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -53,12 +54,27 @@ def _as_of(codes: np.ndarray, old: int) -> np.ndarray:
     return np.where(place >= 0, codes[place], old)
 
 
+#: A mark of a session: its time, whether a timer is due, and the codes of the cart and the purchase of
+#: that time.
+_MARK = np.dtype([("mark_ms", "<i8"), ("due", "?"), ("cart", "<i8"), ("purchase", "<i8")])
+#: Marks are set aside by stretches of time; one has at most a mark per millisecond.
+_STRETCH_MS = 60_000
+
+
+def _marks(rows: pd.DataFrame) -> np.ndarray:
+    out = np.empty(len(rows), _MARK)
+    for name in _MARK.names:
+        out[name] = rows[name].to_numpy()
+    return out
+
+
 class CartTimers(StatefulProcessor):
     """Decides the timers that came due, from the times last known by then.
 
-    Marks reach it in the order of their time from one micro-batch to the next, so the state is the
-    last cart and the last purchase of a session. The marks of one session in one micro-batch are
-    worked off as arrays of four numbers a mark.
+    Marks reach it in the order of their time from one micro-batch to the next, so between micro-batches
+    the state is the last cart and the last purchase of a session. Within one they come in no order. If
+    they are more than one chunk of rows, they are first set aside in the state, by stretches of time,
+    and then worked off stretch by stretch: memory holds one chunk, or one stretch of one session.
     """
 
     def __init__(self, wait_us: int, forget_ms: int | None):
@@ -66,20 +82,43 @@ class CartTimers(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.known = handle.getValueState("known", "cart long, purchase long", self.forget_ms)
+        self.aside = handle.getMapState("aside", "stretch long, part long", "marks binary", self.forget_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        marks = pd.concat(rows)
-        marks = marks.iloc[np.argsort(marks["mark_ms"].to_numpy(), kind="stable")]
-        old_cart, old_purchase = self.known.get() or (_NOTHING, _NOTHING)
-        cart = _as_of(marks["cart"].to_numpy(), old_cart)
-        purchase = _as_of(marks["purchase"].to_numpy(), old_purchase)
-        self.known.update((int(cart[-1]), int(purchase[-1])))
+        known = self.known.get() or (_NOTHING, _NOTHING)
+        first, second = next(rows), next(rows, None)
+        if second is None:
+            groups = iter([_marks(first)])
+        else:
+            groups = self._by_stretch(itertools.chain((first, second), rows))
+        for marks in groups:
+            fired, known = self._decided(marks, known)
+            if len(fired):
+                yield pd.DataFrame({"user_session": key[0], "fired_ms": fired})
+        self.known.update(known)
+
+    def _by_stretch(self, chunks: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+        parts: dict[int, list[int]] = {}
+        for part, chunk in enumerate(chunks):
+            marks = _marks(chunk)
+            stretches = marks["mark_ms"] // _STRETCH_MS
+            for stretch in np.unique(stretches).tolist():
+                self.aside.updateValue((stretch, part), (marks[stretches == stretch].tobytes(),))
+                parts.setdefault(stretch, []).append(part)
+        for stretch in sorted(parts):
+            keys = [(stretch, part) for part in parts[stretch]]
+            yield np.concatenate([np.frombuffer(self.aside.getValue(k)[0], _MARK) for k in keys])
+            for k in keys:
+                self.aside.removeKey(k)
+
+    def _decided(self, marks: np.ndarray, known: tuple[int, int]) -> tuple[np.ndarray, tuple[int, int]]:
+        """The times of the abandoned timers among the marks, and what is known after them."""
+        marks = marks[np.argsort(marks["mark_ms"], kind="stable")]
+        cart, purchase = _as_of(marks["cart"], known[0]), _as_of(marks["purchase"], known[1])
         readable = (cart != _NOTHING) & (cart != _NOT_A_TIME)
         # No purchase and a purchase time that cannot be read decide alike.
         unbought = (purchase == _NOTHING) | (purchase == _NOT_A_TIME) | (purchase - cart > self.wait_us)
-        fired = marks["mark_ms"].to_numpy()[marks["due"].to_numpy() & readable & unbought]
-        if len(fired):
-            yield pd.DataFrame({"user_session": key[0], "fired_ms": fired})
+        return marks["mark_ms"][marks["due"] & readable & unbought], (int(cart[-1]), int(purchase[-1]))
 
     def close(self) -> None:
         pass
@@ -87,7 +126,11 @@ class CartTimers(StatefulProcessor):
 
 class IngestClockTimers(StatefulProcessor):
     """Fires ``wait_ms`` of wall-clock time after each cart's arrival and compares the times last
-    arrived by then."""
+    arrived by then.
+
+    The instants that a session waits for are one array in its state, and one timer stands for the
+    earliest; whatever is due when it expires is decided at once.
+    """
 
     def __init__(self, wait_ms: int, forget_ms: int | None):
         self.wait_ms, self.forget_ms = wait_ms, forget_ms
@@ -95,32 +138,51 @@ class IngestClockTimers(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         last = "at_ms long, ordinal long, code long"
-        self.last_cart = handle.getValueState("last_cart", last, self.forget_ms)
-        self.last_purchase = handle.getValueState("last_purchase", last, self.forget_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        newest = {}
-        for row in rows:
-            place = (row.at_ms, row.ordinal, row.code)
-            if row.is_cart not in newest or place > newest[row.is_cart]:
-                newest[row.is_cart] = place
-            if row.is_cart:
-                self.handle.registerTimer(row.at_ms + self.wait_ms)
-        for is_cart, state in ((True, self.last_cart), (False, self.last_purchase)):
-            if is_cart in newest:
-                known = state.get()
-                if known is None or newest[is_cart] >= tuple(known):
-                    state.update(newest[is_cart])
+        self.last = {kind: handle.getValueState(f"last_{kind}", last, self.forget_ms) for kind in ("cart", "purchase")}
+        self.waiting = handle.getValueState("waiting", "due_ms binary", self.forget_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest: dict[str, tuple[int, int, int]] = {}
+        fresh = [np.empty(0, np.int64)]
+        for chunk in rows:
+            is_cart = chunk["is_cart"].to_numpy(bool)
+            place = [chunk[c].to_numpy(np.int64) for c in ("at_ms", "ordinal", "code")]
+            fresh.append(place[0][is_cart] + self.wait_ms)
+            for kind, own in (("cart", is_cart), ("purchase", ~is_cart)):
+                if own.any():
+                    at, ordinal, code = (p[own] for p in place)
+                    i = np.lexsort((code, ordinal, at))[-1]
+                    newest[kind] = max(newest.get(kind, (0, 0, _NOT_A_TIME)), (int(at[i]), int(ordinal[i]), int(code[i])))
+        for kind, place in newest.items():
+            known = self.last[kind].get()
+            if known is None or place >= tuple(known):
+                self.last[kind].update(place)
+        due = np.unique(np.concatenate(fresh))
+        if len(due):
+            old = self._due()
+            self._wait_for(np.union1d(old, due), registered=old[0] if len(old) else None)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        last = self.last_cart.get()
-        cart = last[2] if last else _NOT_A_TIME
-        known = self.last_purchase.get()
-        purchase = known[2] if known else _NOT_A_TIME
+    def _due(self) -> np.ndarray:
+        held = self.waiting.get()
+        return np.frombuffer(held[0], np.int64) if held else np.empty(0, np.int64)
+
+    def _wait_for(self, due: np.ndarray, registered: int | None) -> None:
+        self.waiting.update((due.tobytes(),))
+        if len(due) and (registered is None or due[0] < registered):
+            self.handle.registerTimer(int(due[0]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        waiting = self._due()
+        due, rest = waiting[waiting <= now], waiting[waiting > now]
+        if not len(due):
+            return
+        self._wait_for(rest, registered=None)
+        cart, purchase = (last[2] if last else _NOT_A_TIME for last in (self.last["cart"].get(), self.last["purchase"].get()))
         unbought = purchase == _NOT_A_TIME or purchase - cart > self.wait_ms * 1000
         if cart != _NOT_A_TIME and unbought:
-            yield Row(user_session=key[0], fired_ms=expiredTimerInfo.getExpiryTimeInMs())
+            yield pd.DataFrame({"user_session": key[0], "fired_ms": due})
 
     def close(self) -> None:
         pass
@@ -204,7 +266,7 @@ def abandonment_by_ingest(
     rows = tracked(arrived, "arrival_ms").select("user_session", "is_cart", "at_ms", "ordinal", "code")
     combined = rows.mapInArrow(_last_per_instant, rows.schema)
     return _fired(
-        combined.groupBy("user_session").transformWithState(
+        combined.groupBy("user_session").transformWithStateInPandas(
             IngestClockTimers(seconds * 1000, _forget_ms(forget, seconds)), FIRED, "Append", "ProcessingTime"
         )
     )
