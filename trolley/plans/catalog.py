@@ -9,12 +9,12 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.functions.text import ms_to_ntz
+from trolley.functions.text import bare_time, has_time_shape, ms_to_ntz, to_event_ts
 from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
 from trolley.plans import dashboard, dirt
 from trolley.schema import CART, PURCHASE, REMOVE, REPLAY_STEP_MS, VIEW
 from trolley.session import cut, shared_dir
-from trolley.sources import raw_csv, topic
+from trolley.sources import raw_csv, tables, topic
 from trolley.sources.event_table import (
     as_shopping_events,
     read_table,
@@ -122,6 +122,25 @@ def _csv_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _time_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("event_time")
+    return dirt.time_texts(read_table(spark, sf_dir)).select(
+        "event_id",
+        has_time_shape(text).alias("time_ok"),
+        F.size(F.split(bare_time(text), "[ \t]+")).alias("parts"),
+        to_event_ts(text).cast("timestamp_ntz").alias("event_ts"),
+    )
+
+
+def _reset_and_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compacted table, emptied, and filled by the job from the start again."""
+    root = _live_compacted(spark, sf_dir, jobs.user_activity)
+    tables.reset(spark, root)
+    rows = as_shopping_events(read_table_stream(spark, sf_dir))
+    jobs.user_activity(rows, root, checkpoints=f"{root}/_again").awaitTermination()
+    return tables.read_latest(spark, root, "user_activity")
+
+
 def _end_of_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """A stream of one row a day after the last of the table, on both clocks: all timers come due."""
     table = read_table(spark, sf_dir)
@@ -238,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "event_json_roundtrip": _json_roundtrip,
     "json_rejects": _json_rejects,
     "csv_replay": _csv_replay,
+    "time_shapes": _time_shapes,
     "stream_purchase_windows": lambda s, d: _plain_times(
         dashboard.purchase_windows(s, _live(s, d, jobs.purchase_windows))
     ),
@@ -264,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "compacted_user_activity": lambda s, d: read_latest(
         s, _live_compacted(s, d, jobs.user_activity), "user_activity"
     ),
+    "reset_and_rerun": _reset_and_rerun,
     "compacted_for_user": lambda s, d: dashboard.unconverted_for_user(
         s, _live_compacted(s, d, jobs.user_product), 15, 2
     ),

@@ -82,3 +82,17 @@ def json_lines(table: DataFrame) -> DataFrame:
     return table.select(
         F.when(turn == 1, F.concat(F.lit("["), line, F.lit("]"))).otherwise(line).alias("value")
     )
+
+
+def time_texts(table: DataFrame) -> DataFrame:
+    """The events' times as texts: by turns as sent, in one part, in three, with tabs, no real date, none."""
+    turn = F.col("event_id") % 6
+    date, clock = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
+    text = (
+        F.when(turn == 0, F.concat(date, F.lit(" "), clock, F.lit(" UTC")))
+        .when(turn == 1, F.concat(date, F.lit("T"), clock))
+        .when(turn == 2, F.concat(date, F.lit(" "), clock, F.lit(" extra")))
+        .when(turn == 3, F.concat(F.lit("\t"), date, F.lit(" \t"), clock, F.lit(" ")))
+        .when(turn == 4, F.concat(F.date_format("ts", "yyyy"), F.lit("-13-01 "), clock))
+    )
+    return table.select("event_id", text.alias("event_time"))

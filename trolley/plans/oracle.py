@@ -221,6 +221,22 @@ SELECT event_type, product_id, category_int AS category_id,
        true AS time_ok
 FROM checked WHERE reason IS NULL"""
 
+TIME_SHAPES = """
+WITH texts AS (
+    SELECT event_id, CASE event_id % 6
+        WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC'
+        WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+        WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || ' extra'
+        WHEN 3 THEN chr(9) || strftime(ts, '%Y-%m-%d') || ' ' || chr(9) || strftime(ts, '%H:%M:%S') || ' '
+        WHEN 4 THEN strftime(ts, '%Y') || '-13-01 ' || strftime(ts, '%H:%M:%S') END AS event_time
+    FROM events
+), split AS (
+    SELECT event_id, regexp_split_to_array(trim(replace(event_time, ' UTC', ''), ' ' || chr(9)), '[ \t]+') AS parts FROM texts
+)
+SELECT event_id, coalesce(len(parts) = 2, false) AS time_ok, len(parts)::INT AS parts,
+    try_strptime(array_to_string(parts, ' '), '%Y-%m-%d %H:%M:%S') AS event_ts
+FROM split"""
+
 # In a CSV file a missing last time and an empty one look the same, and an empty time is kept.
 CSV_REPLAY = f"""
 WITH {RAW}
@@ -301,6 +317,7 @@ SQL: dict[str, str] = {
     "event_json_roundtrip": ROUNDTRIP,
     "json_rejects": JSON_REJECTS,
     "csv_replay": CSV_REPLAY,
+    "time_shapes": TIME_SHAPES,
     "stream_purchase_windows": _windows("purchase", "event_ts", 3, 1),
     "stream_removal_windows": _windows("remove_from_cart", "event_ts", 5, 1),
     "stream_user_activity": ACTIVITY,
@@ -315,5 +332,6 @@ SQL: dict[str, str] = {
     "compacted_purchase_windows": _windows("purchase", "event_ts", 3, 1),
     "compacted_top_purchased": _top_of("purchase", 3),
     "compacted_user_activity": ACTIVITY,
+    "reset_and_rerun": ACTIVITY,
     "compacted_for_user": _unconverted(2, "AND user_id = 15"),
 }

@@ -7,14 +7,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CONFIGURED = "spark.trolley.configured"
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the run-time options every job needs: UTC clock, AQE, RocksDB state.
+    """Set the run-time options every job needs, once per session: UTC clock, AQE, RocksDB state.
 
-    Partition counts and memory stay with whoever owns the cluster.
+    What the caller sets after that stays. Partition counts and memory are up to whoever owns the
+    cluster.
     """
+    if spark.conf.get(CONFIGURED, None):
+        return spark
+    spark.conf.set(CONFIGURED, "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -58,18 +63,19 @@ def cut(df: DataFrame) -> DataFrame:
     The copy stays until ``clean_up``.
     """
     spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clean_up(spark: SparkSession) -> None:
-    """Delete what ``cut`` has written in this application; nothing may read it any more."""
-    path, files = hadoop_path(spark, _own_dir(spark))
+    """Delete what this application has written to its folder; nothing may read it any more."""
+    path, files = hadoop_path(spark, own_dir(spark))
     files.delete(path, True)
 
 
-def _own_dir(spark: SparkSession) -> str:
+def own_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one."""
     return f"{shared_dir(spark)}/cut-{spark.sparkContext.applicationId}"
 
 
