@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from helpers import tuples
 
-from trolley.schema import RESULT_KEYS, RESULT_SCHEMAS
+from trolley.schema import RESULT_KEYS, RESULT_ORDER, RESULT_SCHEMAS, RESULT_SUMS
 from trolley.sources import manifest, tables
 
 START = datetime(2020, 1, 1)
@@ -25,6 +25,9 @@ def row_of(rng, name, batch):
         "added": rng.random() < 0.5,
         "value": f"line {rng.randrange(5)}",
         "reason": "malformed_json",
+        "period_start": START + timedelta(days=rng.randrange(3)),
+        "day": rng.randrange(3),
+        "second": rng.randrange(5),
     }
     names = [c.split()[0] for c in RESULT_SCHEMAS[name].split(", ")]
     return tuple(values.get(c, rng.randrange(1000)) for c in names)
@@ -36,6 +39,9 @@ class Twin:
     def __init__(self, name):
         self.names = [c.split()[0] for c in RESULT_SCHEMAS[name].split(", ")]
         self.keys, self.by = RESULT_KEYS.get(name, (None, ()))
+        self.sums = name in RESULT_SUMS
+        if self.sums:
+            self.keys = RESULT_SUMS[name][0]
         self.rows = [] if self.keys is None else {}
 
     def value(self, row, names):
@@ -53,7 +59,9 @@ class Twin:
                 self.rows.append(row)
                 continue
             key = self.value(row, self.keys)
-            if key not in self.rows or self.value(row, self.by) >= self.value(self.rows[key], self.by):
+            if self.sums:
+                self.rows[key] = (*key, self.rows.get(key, (0,))[-1] + row[-1])
+            elif key not in self.rows or self.value(row, self.by) >= self.value(self.rows[key], self.by):
                 self.rows[key] = row
 
     def all(self):
@@ -61,7 +69,7 @@ class Twin:
 
 
 def content(spark, root, name):
-    read = tables.read_latest if name in RESULT_KEYS else tables.read_rows
+    read = tables.read_latest if name in RESULT_KEYS else tables.read_totals if name in RESULT_SUMS else tables.read_rows
     columns = [c.split()[0] for c in RESULT_SCHEMAS[name].split(", ")]
     return sorted(map(tuple, read(spark, root, name).select(*columns).collect()), key=repr)
 
@@ -83,9 +91,10 @@ def test_every_table_reads_the_same_while_it_is_compacted(spark, tmp_path, name)
     now = manifest.current(spark, f"{root}/{name}")
     assert now.runs and now.upto >= 7 and len({r.tier for r in now.runs}) == len(now.runs)
     assert tables.batches_of(spark, f"{root}/{name}")[-1] == 10
-    wanted = sorted({r[0] for r in twin.all()})[:2]
-    found = tables.lookup(spark, root, name, wanted)
-    assert sorted(map(tuple, found.select(*twin.names).collect()), key=repr) == [r for r in twin.all() if r[0] in wanted]
+    place = twin.names.index(RESULT_ORDER.get(name, twin.names[0]))
+    values = sorted({r[place] for r in twin.all()})
+    for found, wanted in ((tables.lookup(spark, root, name, values[:2]), values[:2]), (tables.lookup_range(spark, root, name, values[1], values[-2]), values[1:-1])):
+        assert sorted(map(tuple, found.select(*twin.names).collect()), key=repr) == [r for r in twin.all() if r[place] in wanted]
     assert tables.lookup(spark, root, name, []).count() == 0
 
 
@@ -170,3 +179,29 @@ def test_a_reader_that_planned_before_goes_on(spark, tmp_path):
     tables.reset(spark, root, (name,))
     assert tables.read_rows(spark, root, name).count() == 0
     assert tables.lookup(spark, root, name, ["l1"]).count() == 0
+
+
+def test_deep_pages_read_their_own_files(spark, tmp_path):
+    """Pages of a log of many days by its counts; the rest of the log is not opened."""
+    from trolley.operators import abandonment, ranking
+    from trolley.plans import dashboard
+
+    root, rng = str(tmp_path), random.Random(7)
+    log = [(f"s{rng.randrange(40)}", START + timedelta(days=i // 40, seconds=rng.randrange(300), milliseconds=rng.randrange(3) * 400)) for i in range(480)]
+    frame = spark.createDataFrame(log, RESULT_SCHEMAS["abandonment_log"])
+    derived = {"abandonment_counts": ranking.slice_counts, "abandoned_sessions": abandonment.last_firings}
+    write = tables.batch_writer(root, "abandonment_log", derived)
+    for number in range(6):
+        write(spark.createDataFrame(log[number * 80 : number * 80 + 80], RESULT_SCHEMAS["abandonment_log"]), number)
+        if number in (2, 5):
+            for name in ("abandonment_log", *derived):
+                assert tables.compact(spark, root, name, 2, grace=0)
+    for number in (0, 7, 30, 47):
+        assert dashboard.log_page(spark, root, number).collect() == ranking.page(frame, number).collect()
+    assert dashboard.log_page(spark, root, 48).count() == 0
+    assert dashboard.log_page(spark, root, 3, 200).count() == 0 and dashboard.log_page(spark, root, 2, 200).count() == 80
+    assert tuples(dashboard.abandoned_pages(spark, root)) == [(480, 48)]
+    files = [f.rsplit("/", 2)[1] for f in dashboard.log_page(spark, root, 47).inputFiles()]
+    assert len([f for f in files if not f.startswith("batch_id")]) < len(tables.manifest.current(spark, f"{root}/abandonment_log").runs) + 1
+    last = {s: max(t for x, t in log if x == s) for s, _ in log}
+    assert dict(map(tuple, tables.read_latest(spark, root, "abandoned_sessions").collect())) == last

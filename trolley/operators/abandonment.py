@@ -193,6 +193,11 @@ def abandonment_log(fired: DataFrame) -> DataFrame:
     return fired.where("abandoned").select("user_session", "fired_at")
 
 
+def last_firings(log: DataFrame) -> DataFrame:
+    """The last firing of each session in the log."""
+    return log.groupBy("user_session").agg(F.max("fired_at").alias("fired_at"))
+
+
 def final_state(events: DataFrame, seconds: int = ABANDON_AFTER_SECONDS) -> DataFrame:
     """The same rule once per session, over everything that arrived (no timers)."""
     rows = tracked(events, "arrival_ms")

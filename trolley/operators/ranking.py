@@ -28,9 +28,12 @@ def top_users(activity: DataFrame, n: int = TOP_USERS) -> DataFrame:
 
 def page_count(log: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
     """Rows in the log and number of pages; an empty log still has one page."""
-    return log.agg(F.count("*").alias("entries")).select(
-        "entries", F.greatest(F.lit(1), F.ceil(F.col("entries") / size)).cast("bigint").alias("pages")
-    )
+    return pages_of(log.agg(F.count("*").alias("entries")), size)
+
+
+def pages_of(entries: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
+    pages = F.greatest(F.lit(1), F.ceil(F.col("entries") / size)).cast("bigint")
+    return entries.select("entries", pages.alias("pages"))
 
 
 def page(log: DataFrame, number: int = 0, size: int = PAGE_SIZE, near: int = NEAR) -> DataFrame:
@@ -48,21 +51,47 @@ def page(log: DataFrame, number: int = 0, size: int = PAGE_SIZE, near: int = NEA
     return log.orderBy(F.desc("fired_at"), "user_session").offset(skip).limit(size)
 
 
-def _narrow(log: DataFrame, width: int, skip: int, size: int) -> tuple[DataFrame, int]:
-    slice_ = F.floor(epoch_ms(F.col("fired_at")) / width)
-    counts = log.groupBy(slice_.alias("slice")).agg(F.count("*").alias("n"))
+def touched(counts: DataFrame, skip: int, size: int) -> tuple[list[int], int]:
+    """Of slices (``slice``, ``n``), newest first, those that the rows ``skip`` to ``skip + size`` lie in,
+    and the place of the first row of the first."""
     # One line per slice that has rows: bounded by the time covered, not by the rows.
     newer = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n").over(newer), F.lit(0))
     # Every slice holds a row or more, so at most ``size`` + 1 of them touch the page.
-    touched = (
+    found = (
         counts.select("slice", "n", start.alias("start"))
         .where((F.col("start") < skip + size) & (F.col("start") + F.col("n") > skip))
         .collect()
     )
-    if not touched:
+    return [r["slice"] for r in found], min((r["start"] for r in found), default=0)
+
+
+def _narrow(log: DataFrame, width: int, skip: int, size: int) -> tuple[DataFrame, int]:
+    slice_ = F.floor(epoch_ms(F.col("fired_at")) / width)
+    slices, start = touched(log.groupBy(slice_.alias("slice")).agg(F.count("*").alias("n")), skip, size)
+    if not slices:
         return log.where(F.lit(False)), 0
-    return log.where(slice_.isin([r["slice"] for r in touched])), skip - min(r["start"] for r in touched)
+    return log.where(slice_.isin(slices)), skip - start
+
+
+def slice_counts(log: DataFrame) -> DataFrame:
+    """Rows of the log per day and second, the table that deep pages are found by."""
+    ms = epoch_ms(F.col("fired_at"))
+    by = [F.floor(ms / DAY_MS).alias("day"), F.floor(ms / SECOND_MS).alias("second")]
+    return log.groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def page_seconds(counts: DataFrame, number: int, size: int = PAGE_SIZE) -> tuple[int, int, int] | None:
+    """The first and the last second that hold rows of a page, and how many rows of these come before it;
+    None if there is no such page. Reads ``counts`` (as ``slice_counts`` makes them) twice: by day, then
+    the seconds of the days that the page lies in."""
+    skip = number * size
+    for name in ("day", "second"):
+        found, start = touched(counts.groupBy(F.col(name).alias("slice")).agg(F.sum("n").alias("n")), skip, size)
+        if not found:
+            return None
+        skip, counts = skip - start, counts.where(F.col(name).isin(found))
+    return min(found), max(found), skip
 
 
 def page_after(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.operators import abandonment, activity, affinity, ranking, windows
 from trolley.schema import MIN_VIEWS, PAGE_SIZE, PURCHASE_WINDOW, REMOVAL_WINDOW
-from trolley.sources.tables import lookup, read_latest, read_rows
+from trolley.sources.tables import lookup, lookup_range, read_latest, read_rows, read_totals
 
 
 def purchase_windows(spark: SparkSession, root: str, window: tuple[str, str] = PURCHASE_WINDOW) -> DataFrame:
@@ -73,33 +73,46 @@ def page_with_lists(
     A page has ``size`` rows at most. Up to ``ranking.NEAR`` it is fetched first, once, so that its
     sessions are a filter on both tables, which skips what a table sorted by session holds of others.
     """
-    return _with_lists(log, items, lambda table, sessions: table.where(F.col("user_session").isin(sessions)), number, size, near, clock)
-
-
-def _with_lists(log, items, of_sessions, number: int, size: int, near: int, clock: str) -> DataFrame:
-    """``of_sessions`` gives the rows that the log, and the items, have of a list of sessions."""
     entries = ranking.page(log, number, size, near)
     if size > ranking.NEAR:
         sessions = entries.select("user_session").distinct()
         items, log = (t.join(sessions, "user_session", "left_semi") for t in (items, log))
     else:
-        rows = entries.collect()
-        entries = log.sparkSession.createDataFrame(rows, entries.schema)
-        sessions = sorted({r["user_session"] for r in rows})
-        items, log = of_sessions(items, sessions), of_sessions(log, sessions)
+        entries, sessions = _fetched(entries)
+        items, log = (t.where(F.col("user_session").isin(sessions)) for t in (items, log))
     return ranking.with_products(entries, abandonment.abandoned_carts(items, log, clock), size)
 
 
-def abandoned_page(spark: SparkSession, root: str, number: int = 0, size: int = PAGE_SIZE) -> DataFrame:
-    """The same on the live tables; only files that hold a session of the page are opened for its list."""
-    names = ["abandonment_log", "cart_items"]
-    log, items = (read_rows(spark, root, name) for name in names)
+def _fetched(entries: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows of a page, fetched once, and their sessions."""
+    rows = entries.collect()
+    return entries.sparkSession.createDataFrame(rows, entries.schema), sorted({r["user_session"] for r in rows})
+
 
-    def of_sessions(table: DataFrame, sessions: list[str]) -> DataFrame:
-        return lookup(spark, root, names[table is items], sessions)
+def log_page(spark: SparkSession, root: str, number: int = 0, size: int = PAGE_SIZE) -> DataFrame:
+    """A page of the live log, newest first. The counts say in which seconds it lies, however deep; of the
+    log only files that have rows of these seconds are opened."""
+    where = ranking.page_seconds(read_totals(spark, root, "abandonment_counts"), number, size)
+    if where is None:
+        return read_rows(spark, root, "abandonment_log").limit(0)
+    first, last, skip = where
+    low, high = (datetime.fromtimestamp(s, timezone.utc) for s in (first, last + 1))
+    rows = lookup_range(spark, root, "abandonment_log", low, high).where(F.col("fired_at") < F.lit(high))
+    return rows.orderBy(F.desc("fired_at"), "user_session").offset(skip).limit(size)
 
-    return _with_lists(log, items, of_sessions, number, size, ranking.NEAR, "event")
+
+def abandoned_page(spark: SparkSession, root: str, number: int = 0, size: int = PAGE_SIZE) -> DataFrame:
+    """The page with the product lists, from the files that hold its sessions."""
+    if size > ranking.NEAR:
+        log = read_rows(spark, root, "abandonment_log")
+        return page_with_lists(log, read_rows(spark, root, "cart_items"), number, size)
+    entries, sessions = _fetched(log_page(spark, root, number, size))
+    items, last = (lookup(spark, root, name, sessions) for name in ("cart_items", "abandoned_sessions"))
+    return ranking.with_products(entries, abandonment.abandoned_carts(items, last), size)
 
 
 def abandoned_pages(spark: SparkSession, root: str, size: int = PAGE_SIZE) -> DataFrame:
-    return ranking.page_count(read_rows(spark, root, "abandonment_log"), size)
+    """Rows and pages of the live log, from its counts."""
+    counts = read_totals(spark, root, "abandonment_counts")
+    entries = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("entries")
+    return ranking.pages_of(counts.agg(entries), size)

@@ -74,6 +74,8 @@ RESULT_SCHEMAS = {
         "user_id BIGINT, product_id STRING, period_start TIMESTAMP, views BIGINT, added BOOLEAN"
     ),
     "abandonment_log": "user_session STRING, fired_at TIMESTAMP",
+    "abandonment_counts": "day BIGINT, second BIGINT, n BIGINT",
+    "abandoned_sessions": "user_session STRING, fired_at TIMESTAMP",
     "cart_items": "user_session STRING, product_id STRING, at_ms BIGINT, ordinal BIGINT",
     "rejects": "value STRING, reason STRING",
 }
@@ -90,4 +92,11 @@ RESULT_KEYS = {
     "user_activity": (("user_id",), ()),
     "user_activity_periods": (("user_id", "period_start"), ()),
     "user_product_periods": (("user_id", "product_id", "period_start"), ()),
+    "abandoned_sessions": (("user_session",), ("fired_at",)),
 }
+
+# Tables of counts that are added to: the columns of their key, and the one that is summed.
+RESULT_SUMS = {"abandonment_counts": (("day", "second"), "n")}
+
+# The column whose range in each file is known, if it isn't the first.
+RESULT_ORDER = {"abandonment_log": "fired_at"}

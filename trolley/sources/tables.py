@@ -2,7 +2,8 @@
 
 Writing a micro-batch again replaces its own folder only, so a restart never counts twice. Tables
 that a running total keeps up to date hold several versions of a key; ``RESULT_KEYS`` says which
-columns are the key, and which order its versions before the batch does.
+columns are the key, and which order its versions before the batch does. Tables in ``RESULT_SUMS``
+hold counts, of which each micro-batch adds its own.
 
 Beside a running job ``compact`` folds older micro-batches into sorted runs, and runs into larger runs.
 A manifest names the runs that hold a table now, so readers change over at once.
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.schema import RESULT_KEYS, RESULT_SCHEMAS
+from trolley.schema import RESULT_KEYS, RESULT_ORDER, RESULT_SCHEMAS, RESULT_SUMS
 from trolley.session import hadoop_path
 from trolley.sources import manifest
 from trolley.sources.manifest import Manifest, Run
@@ -116,32 +117,63 @@ def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
     return newest(read_batches(spark, root, name), name)
 
 
+def totals(rows: DataFrame, name: str, keep_batch: bool = False) -> DataFrame:
+    """The counts of each key of a table of counts."""
+    keys, count = RESULT_SUMS[name]
+    batch = [F.max("batch_id").alias("batch_id")] * keep_batch
+    return rows.groupBy(*keys).agg(F.sum(count).cast("bigint").alias(count), *batch)
+
+
+def read_totals(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One row per key of a table of counts."""
+    return totals(read_batches(spark, root, name), name)
+
+
+def _folded(rows: DataFrame, name: str) -> DataFrame:
+    """What the rows of several micro-batches come down to, with the newest ``batch_id`` of each."""
+    if name in RESULT_KEYS:
+        return newest(rows, name, keep_batch=True)
+    return totals(rows, name, keep_batch=True) if name in RESULT_SUMS else rows
+
+
+def _ordered_by(name: str) -> T.StructField:
+    schema = _schema(name)
+    return schema[RESULT_ORDER.get(name, schema.names[0])]
+
+
 def lookup(spark: SparkSession, root: str, name: str, values: list) -> DataFrame:
-    """The table's rows whose first column is one of a few ``values``; the newest versions, if it is kept
-    up to date.
+    """The table's rows with one of a few ``values`` in its first column (or that of ``RESULT_ORDER``); the
+    newest versions, if it is kept up to date, and the sums, if it has counts.
 
-    Opens the micro-batches not yet compacted, and of each run the files whose key range holds a value:
-    a number that grows with the logarithm of the micro-batches ever written, if they are compacted.
+    Opens the micro-batches not yet compacted, and of each run the files whose range holds a value: a
+    number that grows with the logarithm of the micro-batches ever written, if they are compacted.
     """
-    table = table_path(root, name)
+    column = F.col(_ordered_by(name).name)
+    return _from_files(spark, root, name, column.isin(values), [(v, v) for v in values])
+
+
+def lookup_range(spark: SparkSession, root: str, name: str, low, high) -> DataFrame:
+    """The same for values from ``low`` to ``high``, both included."""
+    return _from_files(spark, root, name, F.col(_ordered_by(name).name).between(low, high), [(low, high)])
+
+
+def _from_files(spark: SparkSession, root: str, name: str, here: Column, ranges: list[tuple]) -> DataFrame:
+    table, schema = table_path(root, name), _stored_schema(name)
     now = manifest.current(spark, table)
-    first = _schema(name).names[0]
-    schema = _stored_schema(name)
-    here = F.col(first).isin(values)
     rows = spark.read.schema(schema).parquet(table).where((F.col("batch_id") > now.upto) & here)
-    files = _files(spark, name, table, now, values) if now.runs and values else []
+    files = _files(spark, name, table, now, ranges) if now.runs and ranges else []
     if files:
         rows = spark.read.schema(schema).parquet(*files).where(here).unionByName(rows)
-    return newest(rows, name) if name in RESULT_KEYS else rows.drop("batch_id")
+    return _folded(rows, name).drop("batch_id").select(*_schema(name).names)
 
 
-def _files(spark: SparkSession, name: str, table: str, now: Manifest, values: list) -> list[str]:
-    first = _schema(name)[0]
+def _files(spark: SparkSession, name: str, table: str, now: Manifest, ranges: list[tuple]) -> list[str]:
+    kind = _ordered_by(name).dataType
     index = T.StructType([T.StructField("run", T.StringType()), T.StructField("file", T.StringType())])
-    index = index.add("low", first.dataType).add("high", first.dataType)
+    index = index.add("low", kind).add("high", kind)
     holds = F.lit(False)
-    for value in values:
-        holds = holds | F.lit(value).cast(first.dataType).between(F.col("low"), F.col("high"))
+    for low, high in ranges:
+        holds = holds | ((F.col("low") <= F.lit(high).cast(kind)) & (F.col("high") >= F.lit(low).cast(kind)))
     folders = [f"{table}/{RUNS}/{run.name}/{INDEX}" for run in now.runs]
     found = spark.read.schema(index).parquet(*folders).where(holds).select("run", "file").collect()
     return [f"{table}/{RUNS}/{r.run}/{r.file}" for r in found]
@@ -185,7 +217,7 @@ def compact(
     May run beside the job that writes the table and beside any reader. The newest micro-batch is left
     alone, since a restart of the job may write it again. ``fanout`` runs of one tier become one of the
     next (two at least), so a row is rewritten once per tier. Of a table kept up to date a run holds the newest version
-    of each key; a run is sorted by key (else by the first column), in files of about equal size, and an
+    of each key, of counts their sums; a run is sorted by key (else by the first column), in files of about equal size, and an
     index gives the range of each file. Folders that were replaced stay for ``grace`` seconds. Rows for
     which ``expired`` holds are left out; a read that skips them as well is the same before and after.
     """
@@ -217,13 +249,11 @@ def compact(
 
 
 def _write_run(rows: DataFrame, name: str, runs: str, run: str) -> None:
-    spark, schema = rows.sparkSession, _stored_schema(name)
-    if name in RESULT_KEYS:
-        rows, order = newest(rows, name, keep_batch=True), list(RESULT_KEYS[name][0])
-    else:
-        order = schema.names[:1]
-    rows.select(*schema.names).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{runs}/{run}")
-    first = schema.names[0]
+    spark, schema, first = rows.sparkSession, _stored_schema(name), _ordered_by(name).name
+    keys = RESULT_KEYS.get(name, RESULT_SUMS.get(name, ((),)))[0]
+    order = list(dict.fromkeys([first, *keys]))
+    folded = _folded(rows, name).select(*schema.names)
+    folded.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{runs}/{run}")
     written = spark.read.schema(schema).parquet(f"{runs}/{run}").select(first, F.col("_metadata.file_name").alias("file"))
     ranges = written.groupBy("file").agg(F.min(first).alias("low"), F.max(first).alias("high"))
     ranges.select(F.lit(run).alias("run"), "file", "low", "high").coalesce(1).write.parquet(f"{runs}/{run}/{INDEX}")

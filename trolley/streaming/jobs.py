@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trolley.operators import abandonment, activity, affinity, cleaning, windows
+from trolley.operators import abandonment, activity, affinity, cleaning, ranking, windows
 from trolley.schema import (
     ABANDON_AFTER_SECONDS,
     PERIOD,
@@ -166,6 +166,7 @@ def abandonment_log(
     """Abandoned firings: by event time, by recorded arrivals (``clock="arrival"``) or by the wall
     clock (``clock="ingest"``).
 
+    Counts per second and the last firing of each session are kept in tables of their own, for pages.
     ``delay`` is how late a row may be on the first two clocks. ``forget`` drops the state of
     sessions so many seconds after their last row.
 
@@ -179,7 +180,8 @@ def abandonment_log(
         frame = timers.abandonment_by_ingest(events, seconds, forget)
     else:
         frame = timers.abandonment_by_time(events, f"{clock}_ms", seconds, delay, forget)
-    return start(frame, root, "abandonment_log", "append", **run)
+    derived = {"abandonment_counts": ranking.slice_counts, "abandoned_sessions": abandonment.last_firings}
+    return start(frame, root, "abandonment_log", "append", derived=derived, **run)
 
 
 def cart_items(events: DataFrame, root: str, clock: str = "event", **run) -> StreamingQuery:
