@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trolley.session import shared_dir
+from trolley.session import own_dir
 
 #: ASCII white space: the bytes 0x20 and 0x09 to 0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -22,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path under the folder that all executors share."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path under the application's folder that all executors share; ``session.clean_up`` deletes it."""
+    return f"{own_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -39,6 +39,26 @@ def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+class Scratch:
+    """Written tables that only serve to make another: removed when the block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        out, path = stored_at(df, label)
+        self.paths.append(path)
+        return out
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table that a newer one has replaced."""
     jvm = spark.sparkContext._jvm

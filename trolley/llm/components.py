@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import stored
+from trolley.llm.common import Scratch, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,20 +16,19 @@ def components(edges: DataFrame) -> DataFrame:
     nothing but a count of edges comes to the driver.
     """
     both = edges.where("a <> b").select("a", "b").unionAll(edges.where("a <> b").select("b", "a")).distinct()
-    left = stored(both, "edges")
-    roots = left.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
-    while left.count():
-        up = left.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("up"))
-        up = stored(up, "pointers")
-        for _ in range(2):
-            higher = up.select(F.col("a").alias("up"), F.col("up").alias("higher"))
-            up = up.join(higher, "up").select("a", F.col("higher").alias("up"))
-        up = stored(up, "pointers")
-        roots = stored(
-            roots.join(up.select(F.col("a").alias("root"), "up"), "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots"
-        )
-        ends = up.select(F.col("a").alias("b"), F.col("up").alias("to"))
-        left = stored(
-            left.join(up, "a").join(ends, "b").where("up <> to").select(F.col("up").alias("a"), F.col("to").alias("b")).distinct(), "edges"
-        )
-    return roots
+    with Scratch(edges.sparkSession) as scratch:
+        left = scratch.stored(both, "edges")
+        roots = left.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
+        while left.count():
+            up = left.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("up"))
+            up = scratch.stored(up, "pointers")
+            for _ in range(2):
+                higher = up.select(F.col("a").alias("up"), F.col("up").alias("higher"))
+                up = up.join(higher, "up").select("a", F.col("higher").alias("up"))
+            up = scratch.stored(up, "pointers")
+            roots = roots.join(up.select(F.col("a").alias("root"), "up"), "root", "left")
+            roots = scratch.stored(roots.select("node", F.coalesce("up", "root").alias("root")), "roots")
+            ends = up.select(F.col("a").alias("b"), F.col("up").alias("to"))
+            left = left.join(up, "a").join(ends, "b").where("up <> to").select(F.col("up").alias("a"), F.col("to").alias("b"))
+            left = scratch.stored(left.distinct(), "edges")
+        return stored(roots, "components")
