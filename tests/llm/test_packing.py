@@ -12,9 +12,27 @@ PATH, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pat
 
 
 def reference():
-    own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(PATH)
+
+
+def test_strings_of_special_tokens():
+    """By default as the tokenizer takes them; as plain text if asked."""
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = True
+    for text in ("end <|endoftext|> here", "<|endoftext|>", "é<|endoftext|>漢", "<|endoftext"):
+        own = packing.Tokens(PATH, RANKS).encode(text).tolist()
+        assert own == reference().encode(text, add_special_tokens=False).ids
+        assert (50256 in own) == ("text|>" in text)
+        assert packing.Tokens(PATH, RANKS, special=False).encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_equal_rows_without_doc_id_are_dealt_apart(spark):
+    docs = spark.range(2000).selectExpr("CAST(NULL AS long) AS doc_id", "'the same few words' AS text").repartition(4)
+    placed = packing.pack(packing.stored(packing.pieces(docs, PATH, RANKS), "pieces"), group_pieces=100).collect()
+    groups = {}
+    for r in placed:
+        groups[r.sequence_id >> 40] = groups.get(r.sequence_id >> 40, 0) + 1
+    assert len(groups) == 20 and max(groups.values()) < 200 and sum(groups.values()) == 2000
 
 
 def test_both_libraries_agree_on_plain_text():

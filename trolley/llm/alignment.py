@@ -71,7 +71,7 @@ class Aligner:
     def __init__(self, a: str, b: str, ranks: str | None = None):
         import sentencepiece
 
-        self.tokens = Tokens(a, ranks)
+        self.tokens = Tokens(a, ranks, special=False)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b)
         self.a_bytes, self.b_bytes = byte_level_vocabulary(a), piece_vocabulary(self.pieces)
         self.a_len, self.b_len = (np.array([len(x) for x in v], np.int64) for v in (self.a_bytes, self.b_bytes))

@@ -30,14 +30,17 @@ _TYPES = [pa.int64()] * 5
 
 
 class Tokens:
-    """Ids of a byte-level BPE vocabulary. ``ranks`` is the same vocabulary for the faster library,
-    which gets the texts of plain Latin script; the rest goes to the tokenizer itself."""
+    """Ids of a byte-level BPE vocabulary, with no mark added. ``ranks`` is the same vocabulary for the
+    faster library, which gets the texts of plain Latin script without special tokens; the rest goes to
+    the tokenizer itself. With ``special`` the strings of special tokens in a text are those tokens, as
+    the tokenizer takes them by itself; without, they are text like any other."""
 
-    def __init__(self, path: str, ranks: str | None = None):
+    def __init__(self, path: str, ranks: str | None = None, special: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self.fast = None
         if ranks:
             import base64
@@ -50,7 +53,7 @@ class Tokens:
             self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if self.fast and PLAIN.fullmatch(text):
+        if self.fast and PLAIN.fullmatch(text) and not any(m in text for m in self.marks):
             return np.array(self.fast.encode_ordinary(text), "<u4")
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
@@ -144,8 +147,8 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
 def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``cut`` (as ``pieces`` returns it) with ``sequence_id`` and ``offset`` in that sequence.
 
-    Pieces are dealt at random to groups of about ``group_pieces``, each packed by one task; only the
-    few columns of a piece are shuffled, not its ids. A sequence is named by its group and its number
+    Pieces are dealt at random, row by row, to groups of about ``group_pieces``, each packed by one task;
+    equal rows are dealt apart, too. Only the few columns of a piece are shuffled, not its ids. A sequence is named by its group and its number
     there. Lengths lie between 1 and ``capacity``. Longest first, ties by doc_id, start. Extra columns
     stay.
     """
@@ -161,7 +164,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
             "offset", pa.array(offset, pa.int64())
         )
 
-    dealt = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    # The place of a row in its input split; a task that runs again reads the same split.
+    dealt = cut.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("_group").applyInArrow(run, f"{schema}, sequence_id bigint, offset bigint")
 
 
