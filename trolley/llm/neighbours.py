@@ -98,12 +98,15 @@ def visits_for(forest: Forest) -> int:
 
 
 def valid(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Rows whose vector isn't NULL, empty, zero, or in part NULL or not finite, of the commonest
-    length (the smaller of two)."""
+    """Rows with a vec_id whose vector isn't NULL, empty, zero, or in part NULL or not finite."""
     finite = F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
-    rows = vectors.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0))
+    return vectors.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0))
+
+
+def commonest_length(rows: DataFrame, vector: str = "embedding") -> int:
+    """The length that most vectors have (the smaller of two), 0 without vectors."""
     lengths = rows.groupBy(F.size(vector).alias("length")).count().orderBy(F.desc("count"), "length").first()
-    return rows.where(F.size(vector) == lengths["length"]) if lengths else rows
+    return lengths["length"] if lengths else 0
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -186,12 +189,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TR
     ``vectors`` with another vec_id; ties go to the smaller vec_id.
 
     Both have vec_id and embedding; other columns are ignored. Vectors that ``valid`` leaves out, and
-    rows without vec_id, take no part. Equal vectors are indexed once, with their k + 1 smallest ids,
-    of which no more can be asked for. Repeated rows count once. Leaves are matched by a shuffle on
+    those of another length than most of ``vectors`` have, take no part on either side. Equal vectors
+    are indexed once, with their k + 1 smallest ids, of which no more can be asked for, and equal query
+    vectors are searched once. Repeated rows count once. Leaves are matched by a shuffle on
     (tree, leaf, slice); per slice and query at most k + 1 candidates leave the task.
     """
-    rows = valid(vectors).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
-    asked = valid(queries).select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector")).dropDuplicates()
+    length = commonest_length(valid(vectors))
+    rows, asked = (
+        valid(side).where(F.size("embedding") == length).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
+        for side in (vectors, queries)
+    )
+    asked = stored(asked.select(F.col("vec_id").alias("asked"), "vector").dropDuplicates(), "queries")
+    searched = asked.groupBy("vector").agg(F.min("asked").alias("id"))
     first = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.withColumn("place", F.dense_rank().over(first)).where(F.col("place") <= k + 1)
     classes = few.groupBy("vector").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
@@ -202,12 +211,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = TR
     forest = fit(_matrix(some.column(0)), classes.count(), trees, leaf_rows)
     slices = crowded(classes, forest) if forest.depth else {}
     index = _placed(classes, forest, None, slices)
-    wanted = _placed(asked, forest, visits_for(forest), slices)
+    wanted = _placed(searched, forest, visits_for(forest), slices)
     found = wanted.groupBy("leaf").cogroup(index.groupBy("leaf")).applyInArrow(_leaf_ranking(k), "query_id bigint, rep bigint, score double")
     found = found.groupBy("query_id", "rep").agg(F.min("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy("score", "rep")
     near = found.withColumn("place", F.row_number().over(by)).where(F.col("place") <= k + 1)
     named = near.join(classes.select(F.col("id").alias("rep"), "ids"), "rep").select("query_id", "score", F.explode("ids").alias("vec_id"))
-    named = named.where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    named = named.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    # Of the k + 1 nearest of a vector, each of its ids leaves out itself.
+    nearby = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    named = named.withColumn("place", F.row_number().over(nearby)).where(F.col("place") <= k + 1).drop("place")
+    own = asked.join(searched, "vector").select("asked", F.col("id").alias("query_id"))
+    named = own.join(named, "query_id").where("vec_id <> asked").select(F.col("asked").alias("query_id"), "vec_id", "score")
     final = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return named.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
