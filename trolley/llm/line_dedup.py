@@ -37,21 +37,29 @@ def _keys(texts: pa.Array) -> tuple[pa.Array, pa.Array, list[bytes | None]]:
 
 
 def line_hashes(docs: DataFrame) -> DataFrame:
-    """(hash, doc_id) of every distinct key of a document, of keys with at least ``LEAST`` code points."""
+    """(hash, doc_id, text_key) of every distinct key of a row, of keys with at least ``LEAST`` code points;
+    text_key stands for the row's text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, len(whole), SLICE):
                 batch = whole.slice(a, SLICE)
                 _, parents, hashes = _keys(batch.column(1))
-                ids = batch.column(0).to_pylist()
-                found = sorted({(h, ids[p]) for h, p in zip(hashes, parents.to_pylist(), strict=True) if h})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([h for h, _ in found], pa.binary()), pa.array([d for _, d in found], pa.int64())], ["hash", "doc_id"]
-                )
+                ids, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+                found = sorted({(h, ids[p], texts[p]) for h, p in zip(hashes, parents.to_pylist(), strict=True) if h})
+                columns = zip(*found, strict=True) if found else ((),) * 3
+                made = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64()), strict=True)]
+                yield pa.RecordBatch.from_arrays(made, ["hash", "doc_id", "text_key"])
+
+    return docs.select(_id().alias("doc_id"), "text", _text_key().alias("text_key")).mapInArrow(run, "hash binary, doc_id bigint, text_key bigint")
+
 
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return docs.select(ids.alias("doc_id"), "text").mapInArrow(run, "hash binary, doc_id bigint")
+def _id():
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+
+
+def _text_key():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 class LineRuns:
@@ -120,13 +128,16 @@ def by_id(docs: DataFrame, batches: int) -> list[DataFrame]:
 
 
 def repeated(batches: list[DataFrame], runs: LineRuns) -> DataFrame:
-    """(doc_id, dropped hashes) of the documents that lose lines, given batches in order of age."""
+    """(doc_id, text_key, dropped hashes) of the rows that lose lines, given batches in order of age.
+
+    Hashes are gathered per text, so a list holds no more than the lines of one text, however many rows
+    share a doc_id, or have none."""
     lost = []
     for batch in batches:
         lines = line_hashes(batch)
         owners = runs.add(lines)
         lost.append(stored(lines.join(owners, ["hash", "doc_id"], "left_anti"), "lost"))
-    return reduce(DataFrame.unionAll, lost).groupBy("doc_id").agg(F.collect_set("hash").alias("_lost"))
+    return reduce(DataFrame.unionAll, lost).groupBy("doc_id", "text_key").agg(F.collect_set("hash").alias("_lost"))
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
@@ -139,11 +150,14 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -
     ``n_dropped``, which are replaced. An empty table stays empty.
     """
     runs = LineRuns(docs.sparkSession, fanout)
-    lost = repeated(by_id(docs, batches), runs)
-    runs.close()
+    try:
+        lost = repeated(by_id(docs, batches), runs)
+    finally:
+        runs.close()
     plain = docs.drop("n_lines", "n_dropped")
-    lost = lost.withColumnRenamed("doc_id", "_lost_id")
-    joined = plain.join(lost, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_lost_id"), "left").drop("_lost_id")
+    lost = lost.withColumnsRenamed({"doc_id": "_lost_id", "text_key": "_lost_text"})
+    same = (_id() == F.col("_lost_id")) & (_text_key() == F.col("_lost_text"))
+    joined = plain.join(lost, same, "left").drop("_lost_id", "_lost_text")
     at = plain.columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
 
