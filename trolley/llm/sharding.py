@@ -53,7 +53,7 @@ def _moved(linked: DataFrame, quota: list[int], turn: int) -> DataFrame | None:
     total = Window.partitionBy("group")
     large = F.sum("votes").over(total) > LARGE * quota[-1]
     wishes = wishes.select("group", "shard", "to", large.alias("large"))
-    chance = F.when(F.col("large"), _chance(turn, "doc_id", "size")).otherwise(_chance(turn, "group"))
+    chance = F.when(F.col("large"), _chance(turn, "key", "size")).otherwise(_chance(turn, "group"))
     goes = F.col("to").isNotNull() & (chance < _lookup(share, F.col("to")))
     return linked.join(wishes, ["group", "shard"], "left").withColumn("shard", F.when(goes, F.col("to")).otherwise(F.col("shard"))).drop("to", "large")
 
@@ -61,7 +61,7 @@ def _moved(linked: DataFrame, quota: list[int], turn: int) -> DataFrame | None:
 def _slice(slices: int) -> Column:
     """Keeps a group's documents together, but for a large group, which takes several slices."""
     parts = F.greatest(F.lit(1), F.ceil(F.col("members") / SLICE_ROWS)).cast("long")
-    return F.pmod(F.xxhash64("group"), F.lit(slices)) * (1 << 32) + F.pmod(F.xxhash64("doc_id", "size"), parts)
+    return F.pmod(F.xxhash64("group"), F.lit(slices)) * (1 << 32) + F.pmod(F.xxhash64("row"), parts)
 
 
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -69,18 +69,19 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
 
     Law ``rows``: the shards' counts differ by one at most. ``size`` is the UTF-8 length of the text
     plus 8; NULL text counts as empty and is equal to an empty one. Rows of equal doc_id are rows of
-    their own; a NULL doc_id is a value like any other. ``slot`` counts from 0 without gaps in each
+    their own, numbered once, so that any number of equal rows spreads over slices and shards; a NULL
+    doc_id is a value like any other. ``slot`` counts from 0 without gaps in each
     shard; ``grown_shard`` is NULL under this law. An empty table gives no rows.
     """
     text = F.coalesce("text", F.lit(""))
     rows = stored(
-        docs.select("doc_id", (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.md5(text.cast("binary")).alias("group")),
+        docs.select("doc_id", (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.md5(text.cast("binary")).alias("group"), F.monotonically_increasing_id().alias("row")),
         "documents",
     )
     n = rows.count()
     quota, slices = quotas(n, shards), n // SLICE_ROWS + 1
     groups = stored(rows.groupBy("group").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "groups")
-    linked = rows.join(groups, "group").withColumn("shard", F.pmod(F.xxhash64("doc_id", "size"), F.lit(shards)).cast("int"))
+    linked = rows.join(groups, "group").withColumn("key", F.coalesce(F.col("doc_id").cast("long"), "row")).withColumn("shard", F.pmod(F.xxhash64("key", "size"), F.lit(shards)).cast("int"))
     linked = stored(linked, "linked")
     for turn in range(rounds):
         moved = _moved(linked, quota, turn)
@@ -95,13 +96,13 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     for s, q in enumerate(quota):
         upto.append(upto[-1] + q - held.get(s, 0))
     alone = rows.join(groups, "group", "left_anti").withColumn("members", F.lit(1).cast("long"))
-    columns = ["doc_id", "size", "text_crc32", "group", "members"]
+    columns = ["doc_id", "size", "text_crc32", "group", "row", "members"]
     pool = stored(ranked.where(~stay).select(columns).unionByName(alone.select(columns)), "pool")
     dealt = numbered(pool, [], _slice(slices), [F.col("group"), F.col("doc_id")], "rank")
     place = F.size(F.filter(F.array(*map(F.lit, upto[1:])), lambda top: top <= F.col("rank")))
     final = ranked.where(stay).select(*columns, "shard").unionByName(dealt.select(*columns, place.cast("int").alias("shard")))
     final = stored(final, "placed")
-    slotted = numbered(final, ["shard"], F.pmod(F.xxhash64("doc_id", "size"), F.lit(slices)), [F.col("doc_id"), F.col("text_crc32")], "slot")
+    slotted = numbered(final, ["shard"], F.pmod(F.xxhash64("row"), F.lit(slices)), [F.col("doc_id"), F.col("text_crc32")], "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
