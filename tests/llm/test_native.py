@@ -31,6 +31,26 @@ def test_counts_one_apart_and_groups_together(spark, small):
     assert kept == links
 
 
+def test_equal_rows_without_doc_id_spread(spark):
+    """Many equal rows: over all shards, and over slices of a bounded size."""
+    docs = spark.range(30_000).selectExpr("CAST(NULL AS long) AS doc_id", "'same' AS text")
+    seen = []
+    real = sharding.numbered
+
+    def watched(df, within, spread, order, name):
+        seen.append(df.groupBy(*within, spread.alias("s")).count().agg(F.max("count")).first()[0])
+        return real(df, within, spread, order, name)
+
+    sharding.numbered = watched
+    try:
+        rows = sharding.balanced_shards(docs).collect()
+    finally:
+        sharding.numbered = real
+    counts = [sum(r.shard == s for r in rows) for s in range(24)]
+    assert max(counts) - min(counts) <= 1 and sum(counts) == 30_000
+    assert max(seen) < 2 * sharding.SLICE_ROWS
+
+
 def test_sharding_odd_documents(odd_docs, no_docs):
     rows = sharding.balanced_shards(odd_docs, shards=4).collect()
     assert len(rows) == odd_docs.count() and {r.shard for r in rows} == {0, 1, 2, 3}
@@ -101,24 +121,56 @@ def test_fingerprints_odd_documents(odd_docs, no_docs):
 
 
 def test_own_and_inherited_licenses(spark):
+    """Licence files speak for their directory and below, other files for themselves."""
     files = [
         ("a/LICENSE", "Released under the MIT License."),
         ("a/b/one.txt", "the text\nlicensed under the apache license, version 2.0"),
         ("a/b/two.txt", "the license of the work"),
+        ("a/c/COPYING.md", "some words\nLicensed under CC BY 4.0."),
         ("a/c/d/three.txt", "nothing"),
+        ("a/c/d/four.txt", "words\nAll rights reserved."),
+        ("a/c/d/five.txt", "All rights reserved.\nReleased under the MIT License."),
         ("e/four.txt", None),
+        ("f/LICENSE", "All rights reserved."),
+        ("f/six.txt", "nothing"),
+        ("licenses.txt", "Licensed under CC BY-SA 4.0."),
         ("five.txt", ""),
         (None, "Licensed under CC BY-NC 4.0."),
     ]
-    files = spark.createDataFrame(files, "path string, text string").selectExpr("*", "'x' AS key", "'y' AS dir")
+    files = spark.createDataFrame(files, "path string, text string").selectExpr("*", "'x' AS key", "'y' AS dir", "'z' AS _own_key")
     out = licenses.scan(files)
     assert python_free(out)
     got = {r.path: (r.own_licence, r.licence, r.inherited_from) for r in out.collect()}
-    assert got["a/b/one.txt"] == ("Apache-2.0", "Apache-2.0", None)
-    assert got["a/b/two.txt"] == (None, "Apache-2.0", "a/b")
-    assert got["a/c/d/three.txt"] == (None, "MIT", "a")
-    assert got["e/four.txt"] == got["five.txt"] == (None, "MIT", "")
+    assert got == {
+        "a/LICENSE": ("MIT", "MIT", None),
+        "a/b/one.txt": ("Apache-2.0", "Apache-2.0", None),
+        "a/b/two.txt": (None, "MIT", "a"),
+        "a/c/COPYING.md": ("CC-BY-4.0", "CC-BY-4.0", None),
+        "a/c/d/three.txt": (None, "CC-BY-4.0", "a/c"),
+        "a/c/d/four.txt": (licenses.NO_RIGHTS, licenses.NO_RIGHTS, None),
+        "a/c/d/five.txt": ("MIT", "MIT", None),
+        "e/four.txt": (None, None, None),
+        "f/LICENSE": (licenses.NO_RIGHTS, licenses.NO_RIGHTS, None),
+        "f/six.txt": (None, None, None),
+        "licenses.txt": ("CC-BY-SA-4.0", "CC-BY-SA-4.0", None),
+        "five.txt": (None, None, None),
+        None: ("CC-BY-NC-4.0", "CC-BY-NC-4.0", None),
+    }
     assert licenses.scan(files.limit(0)).count() == 0
+    root = files.unionByName(spark.createDataFrame([("UNLICENSE", "Dedicated to the public domain under CC0 1.0 Universal.", "x", "y", "z")], files.schema))
+    got = {r.path: (r.licence, r.inherited_from) for r in licenses.scan(root).collect()}
+    assert got["five.txt"] == got["e/four.txt"] == got["f/six.txt"] == ("CC0-1.0", "") and got["a/b/two.txt"] == ("MIT", "a")
+
+
+def test_licenses_of_odd_documents(spark, odd_docs, no_docs):
+    """Rows without a key keep their notice, and repeated rows are one file."""
+    docs = odd_docs.withColumn("path", F.concat(F.lit("p/"), F.col("doc_id").cast("string")))
+    mit = docs.where("doc_id IS NULL").withColumn("text", F.lit("Released under the MIT License."))
+    rows = licenses.scan(docs.where("doc_id IS NOT NULL").unionByName(mit), key="doc_id", order="doc_id").collect()
+    assert len(rows) == odd_docs.count()
+    assert [r.own_licence for r in rows if r.doc_id is None] == ["MIT"]
+    assert {r.licence for r in rows if r.doc_id is not None} == {None}
+    assert licenses.scan(no_docs, key="doc_id", order="doc_id").count() == 0
 
 
 GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
@@ -223,6 +275,22 @@ def test_crowded_leaves_are_sliced(spark, monkeypatch):
     assert len(seen[0]) == 2 * neighbours.TREES and {*seen[0].values()} <= {3, 4, 5}
 
 
+def test_queries_of_another_length_and_equal_queries(spark):
+    """The table's commonest length holds for both sides; equal queries are searched once."""
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(1, 60)]
+    rows += [(100, [1.0, 2.0]), (200, [1.0, 2.0]), (300, [2.0, 2.0, 1.0]), (400, [2.0, 2.0, 1.0]), (500, [2.0, 2.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = vectors.where("vec_id % 100 = 0")
+    got = neighbours.nearest(vectors, asked, k=4).collect()
+    assert {r.query_id for r in got} == {300, 400, 500}
+    whole = [(i, v) for i, v in rows if len(v) == 3]
+    for query in (300, 400, 500):
+        own = dict(whole)[query]
+        best = sorted((math.dist(own, v), i) for i, v in whole if i != query)[:4]
+        assert [(r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == query), key=lambda r: r.rank)] == best
+    assert neighbours.nearest(vectors, vectors.where("vec_id = 100")).collect() == []
+
+
 def test_neighbours_odd_vectors(spark):
     same = [(i, [1.0, 2.0]) for i in range(1, 41)]
     bad = [(50, None), (51, [0.0, 0.0]), (52, [1.0, None]), (53, [1.0, float("nan")]), (54, [float("inf"), 1.0]), (55, []), (56, [1.0]), (None, [1.0, 1.0])]

@@ -3,7 +3,7 @@
 A file's passages are compared with templates by the cosine of sparse TF-IDF vectors: its lines with
 the usual one-line notices, and its lines, runs of neighbouring lines and sentences, and a licence
 file as a whole, with headers, tags and licence texts. A file without a statement of its own inherits
-the license of the nearest ancestor directory that has one, found by joins on paths.
+that of the nearest licence file in its directory or above, found by joins on paths.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from trolley.llm.common import stored
 
+#: Stands for a notice that grants nothing. It keeps a file from inheriting.
+NO_RIGHTS = "all-rights-reserved"
 #: The usual one-line notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -30,6 +32,7 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    NO_RIGHTS: "All rights reserved.",
 }
 _IDS = {
     "AGPL-3.0": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"],
@@ -205,7 +208,9 @@ def _scored(found: DataFrame, weights: dict[str | None, float], units: dict[str,
     weighed = found.join(F.broadcast(known), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(weights[None])))
     norms = weighed.groupBy(*by).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = weighed.join(F.broadcast(parts), "term").groupBy(*by, "template", "licence").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
-    scores = dots.join(norms, by).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
+    norms = norms.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = (F.col("line") == F.col("_line")) & (F.col("part") == F.col("_part")) & F.col("key").eqNullSafe(F.col("_key"))
+    scores = dots.join(norms, same).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
     return scores.select("key", "line", "licence", "score")
 
 
@@ -213,7 +218,8 @@ def stated(files: DataFrame, key: str = "path", text: str = "text", threshold: f
     """(key, licence, score, line): the best statement of each file that has one.
 
     Score is the cosine, rounded to 6 places; ties go to the template's name, then the earlier line
-    (from 0). NULL and empty texts state nothing. Rows of one key are one file. Lines are compared with
+    (from 0). A licence goes before ``NO_RIGHTS``, whatever the scores. NULL and empty texts state
+    nothing. Rows of one key are one file, and so are those without. Lines are compared with
     ``TEMPLATES``; ``passages``, of two terms or more, with ``NOTICES``, all of whose terms are weighed.
     """
     notices = {f"{i}": text for i, (_, text) in enumerate(NOTICES)}
@@ -227,36 +233,41 @@ def stated(files: DataFrame, key: str = "path", text: str = "text", threshold: f
     near = stored(count(passages(files, key, text, cues(wide, threshold, notices)), F.col("terms")), "passages")
     scores = _scored(found, weights, template_weights(weights), {n: n for n in TEMPLATES}, threshold)
     scores = scores.unionByName(_scored(near, wide, template_weights(wide, notices), {f"{i}": n for i, (n, _) in enumerate(NOTICES)}, threshold))
-    best = scores.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("minus"), "licence", "line")).alias("best"))
+    none = (F.col("licence") == NO_RIGHTS).alias("none")
+    best = scores.groupBy("key").agg(F.min(F.struct(none, (-F.col("score")).alias("minus"), "licence", "line")).alias("best"))
     return best.select(F.col("key").alias(key), "best.licence", (-F.col("best.minus")).alias("score"), "best.line")
 
 
 def directories(path: Column) -> Column:
-    """The directories above a path, from the nearest to the root ''."""
+    """A directory and those above it, from itself to the root ''."""
     parts = F.split(path, "/")
-    return F.transform(F.sequence(F.size(parts) - 1, F.lit(0), F.lit(-1)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    above = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    return F.when(path == "", F.array(F.lit(""))).otherwise(F.array_append(above, F.lit("")))
 
 
 def scan(files: DataFrame, key: str = "path", order: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(path, key, own_licence, own_score, licence, inherited_from) of every file.
 
-    A directory's license is that of the first file, by ``order``, that states one directly or further
-    down in it. A file without a statement takes the license of its nearest directory that has one;
-    ``inherited_from`` names the directory ('' is the root) and is NULL for a license of its own.
-    Without any both are NULL. NULL paths are files in no directory.
+    A notice in a file speaks for that file alone. A licence file (``LICENCE_FILE``) speaks for its
+    directory and all below it, too; of several in a directory the first by ``order`` that states a
+    licence does. A file without a notice takes the licence of the nearest directory above it that has
+    one; ``inherited_from`` names the directory ('' is the root) and is NULL for a licence of its own.
+    A file that reserves all rights inherits nothing, and hands nothing on. Without any both are NULL.
+    NULL paths are files in no directory; a file without a key has its notices like any other.
 
     Directories are resolved among themselves before files are joined to the one they lie in, so that
     a crowded directory is a plain skewed join.
     """
     own = stored(stated(files, key, text, threshold), "statements")
-    own = own.withColumnsRenamed({"licence": "own_licence", "score": "own_score"}).drop("line")
-    named = files.select(*dict.fromkeys(["path", key, order])).join(own, key, "left")
-    claims = named.where(F.col("own_licence").isNotNull() & F.col("path").isNotNull())
-    claims = claims.select(F.explode(directories(F.col("path"))).alias("dir"), F.col(order).alias("by"), "own_licence")
-    holders = claims.groupBy("dir").agg(F.min_by("own_licence", F.struct("by", "own_licence")).alias("licence"))
+    own = own.withColumnsRenamed({"licence": "own_licence", "score": "own_score", key: "_own_key"}).drop("line")
+    columns = files.select(*dict.fromkeys(["path", key, order]))
+    named = columns.join(own, columns[key].eqNullSafe(own["_own_key"]), "left").drop("_own_key")
     parent = F.regexp_replace("path", "/?[^/]*$", "")
+    speaks = F.col("path").rlike(LICENCE_FILE) & (F.col("own_licence") != NO_RIGHTS)
+    claims = named.where(speaks).select(parent.alias("dir"), F.col(order).alias("by"), "own_licence")
+    holders = claims.groupBy("dir").agg(F.min_by("own_licence", F.struct("by", "own_licence")).alias("licence"))
     dirs = named.where(F.col("path").isNotNull()).select(parent.alias("parent")).distinct()
-    above = dirs.select("parent", F.explode(F.array_append(F.when(F.col("parent") != "", directories(F.col("parent"))).otherwise(F.array().cast("array<string>")), F.col("parent"))).alias("dir"))
+    above = dirs.select("parent", F.explode(directories(F.col("parent"))).alias("dir"))
     resolved = above.join(holders, "dir").groupBy("parent").agg(F.max_by(F.struct("licence", "dir"), F.length("dir")).alias("found"))
     joined = named.withColumn("parent", parent).join(resolved, "parent", "left")
     mine = F.col("own_licence").isNotNull()

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from trolley.llm.centroids import CENTROIDS, DIMENSIONS, ROUNDS, SCALE, SEED
-from trolley.llm.licenses import TEMPLATES, TERM, THRESHOLD
+from trolley.llm.licenses import NO_RIGHTS, TEMPLATES, TERM, THRESHOLD
+from trolley.llm.queries import FOLDER
 from trolley.llm.quality_rules import COVERED_PERCENT, LEAST, LONGEST, MIN_WORDS, WINDOW, WINDOW_PERCENT
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -83,7 +84,8 @@ FROM marked GROUP BY doc_id
 _TEMPLATES = " UNION ALL ".join(f"SELECT '{name}' AS licence, '{text}' AS text" for name, text in TEMPLATES.items())
 OP8 = f"""
 WITH files AS (
-    SELECT doc_id, text, concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id) AS path FROM documents
+    SELECT doc_id, text, concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id // {FOLDER},
+        CASE WHEN doc_id % {FOLDER} = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END) AS path FROM documents
 ), templates AS (
     SELECT licence, term, count(*) AS tf FROM (
         SELECT licence, lower(unnest(regexp_extract_all(text, '{TERM}'))) AS term FROM ({_TEMPLATES}))
@@ -111,21 +113,16 @@ WITH files AS (
     JOIN (SELECT doc_id, no, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL) USING (doc_id, no)
 ), own AS (
     SELECT doc_id, licence AS own_licence, score AS own_score FROM scores WHERE score >= {THRESHOLD}
-    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence, no) = 1
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY licence = '{NO_RIGHTS}', score DESC, licence, no) = 1
 ), named AS (
     SELECT doc_id, path, own_licence, own_score, split(path, '/') AS parts FROM files LEFT JOIN own USING (doc_id)
 ), holders AS (
-    SELECT dir, arg_min(own_licence, doc_id) AS licence FROM (
-        SELECT doc_id, own_licence, array_to_string(parts[1:depth], '/') AS dir
-        FROM named, range(0, 3) AS r(depth) WHERE own_licence IS NOT NULL AND depth < len(parts))
-    GROUP BY dir
+    SELECT array_to_string(parts[1:len(parts) - 1], '/') AS dir, arg_min(own_licence, doc_id) AS licence
+    FROM named WHERE parts[len(parts)] = 'LICENSE' AND own_licence <> '{NO_RIGHTS}' GROUP BY dir
 )
-SELECT n.path, n.doc_id, own_licence, own_score, coalesce(own_licence, a.licence, b.licence, c.licence) AS licence,
-    CASE WHEN own_licence IS NULL THEN CASE WHEN a.dir IS NOT NULL THEN a.dir WHEN b.dir IS NOT NULL THEN b.dir ELSE c.dir END END AS inherited_from
-FROM named n
-LEFT JOIN holders a ON a.dir = array_to_string(parts[1:2], '/')
-LEFT JOIN holders b ON b.dir = parts[1]
-LEFT JOIN holders c ON c.dir = ''
+SELECT n.path, n.doc_id, own_licence, own_score, coalesce(own_licence, licence) AS licence,
+    CASE WHEN own_licence IS NULL THEN dir END AS inherited_from
+FROM named n LEFT JOIN holders ON dir = array_to_string(parts[1:len(parts) - 1], '/')
 """
 
 

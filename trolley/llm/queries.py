@@ -60,9 +60,16 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+#: The documents lie in directories by source, language and hundreds of ids; the first of each is its
+#: licence file.
+FOLDER = 100
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
-    files = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    doc_id = F.col("doc_id")
+    name = F.when(doc_id % FOLDER == 0, "LICENSE").otherwise(F.concat(doc_id.cast("string"), F.lit(".txt")))
+    where = [F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.floor(doc_id / FOLDER).cast("string"), name]
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", *where).alias("path"))
     return licenses.scan(files, key="doc_id", order="doc_id")
 
 
