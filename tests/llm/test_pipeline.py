@@ -30,3 +30,31 @@ def test_stages_return_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, small).columns == docs.columns
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated, missing and clashing doc_ids: rows are told apart by their text."""
+    words = [f"w{i}" for i in range(60)]
+    base, near, other = " ".join(words), " ".join([*words[:-1], "x"]), " ".join(f"o{i}" for i in range(30))
+    rows = [(1, base), (1, base), (2, other), (2, base), (None, near), (None, near), (None, base), (3, None), (3, ""), (None, ""), (None, "")]
+    lone = " ".join(f"q{i}" for i in range(40))
+    rows += [(None, lone), (None, lone), (None, lone + " end"), (4, near)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    lones = [t for _, t in got if t and t.startswith("q0")]
+    assert len(lones) == 1
+    assert [x for x in got if x[1] not in lones] == sorted([(1, base), (2, other), (3, None), (3, ""), (None, ""), (None, "")], key=repr)
+
+
+def test_odd_documents(spark, small, odd_docs, no_docs):
+    """Every stage on odd rows, each on what the one before left; and on none."""
+    names = list(corpus_pipeline.DOCUMENTS)
+    for docs in (odd_docs, no_docs):
+        n = docs.count()
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, small)
+            assert docs.columns == names and docs.count() <= n
+        packed = corpus_pipeline.pack(spark, docs, small)
+        assert packed.where("start = 0").count() == docs.count()
