@@ -1,4 +1,9 @@
-"""A corpus made ready for training: four stages, each written and read again by the next."""
+"""A corpus made ready for training: four stages, each written and read again by the next.
+
+A row is a document of its own: doc_ids may be NULL or repeat, and any column may be NULL. Line dedup
+takes rows of one doc_id as one document and rows without one as the last; the other stages go by the
+row. Columns besides those of ``DOCUMENTS`` are dropped. Without documents nothing comes out.
+"""
 
 from __future__ import annotations
 
@@ -19,15 +24,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier one has; those left with no text stay."""
+    """Documents without the lines that an earlier one has; one that is left with no text stays, as an
+    empty document."""
     return line_dedup.dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*DOCUMENTS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that with the smallest doc_id."""
-    found = jaccard.near_duplicates(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENTS)
+    """One row of each near-duplicate group: of those with the smallest doc_id (rows without one come
+    last) the one with the smallest hash of its text. Rows without words are in no group and stay; of
+    rows that are equal in doc_id and text one is as good as the other, and one stays."""
+    found = stored(jaccard.near_duplicates(docs, keys=True), "found")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min(row).alias("first"))
+    rows = found.join(first, "component").groupBy("doc_id", "text_key")
+    rows = stored(rows.agg(F.first(row == F.col("first")).alias("stays"), (F.count(F.lit(1)) > 1).alias("many")), "rows")
+    own = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("text_key"))
+    named = rows.withColumnRenamed("doc_id", "_id")
+    single = own.join(named.where("many OR NOT stays"), same, "left_anti")
+    repeated = own.join(named.where("many AND stays"), same, "left_semi").dropDuplicates(["doc_id", "_key"])
+    return single.unionByName(repeated).select(*DOCUMENTS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select(*DOCUMENTS)
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
