@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -31,6 +32,19 @@ def test_counts_one_apart_and_groups_together(spark, small):
     assert kept == links
 
 
+def test_fewer_cut_links_than_by_chance(spark):
+    """Groups of many sizes: where most of a group lies, against any placement that ignores groups."""
+    groups = spark.range(400).selectExpr("id AS g", "explode(sequence(1, 2 + id % 9)) AS n")
+    docs = groups.selectExpr("g * 100 + n AS doc_id", "concat('text ', g) AS text")
+    placed = sharding.balanced_shards(docs)
+    kept, links = sharding.cut_links(placed).first()
+    chance = placed.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(sharding.SHARDS)).cast("int"))
+    by_chance = sharding.cut_links(chance).first().kept
+    assert links == docs.count()
+    # A member of each group is where it is by definition; count the others.
+    assert (kept - 400) / (links - 400) > 0.95 > 0.35 > (by_chance - 400) / (links - 400)
+
+
 def test_equal_rows_without_doc_id_spread(spark):
     """Many equal rows: over all shards, and over slices of a bounded size."""
     docs = spark.range(30_000).selectExpr("CAST(NULL AS long) AS doc_id", "'same' AS text")
@@ -112,6 +126,35 @@ def test_edited_texts(spark, small, monkeypatch):
         assert all(r.near_edited > r.near_next for r in long)
 
 
+def test_frequent_ids_and_crowds_of_equal_rows(spark, monkeypatch):
+    """A third of all rows without doc_id, many of one doc_id, and crowds of equal rows, in small parts."""
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 20)
+    text = lambda i: " ".join(f"w{(i * j) % 97}" for j in range(3, 25))
+    rows = [(i, text(i)) for i in range(200)] + [(None, text(i)) for i in range(300, 420)] + [(50, text(i)) for i in range(500, 580)]
+    rows += [(None, text(1))] * 90 + [(120, text(2))] * 33 + [(None, None)] * 25 + [(7, "x")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _range", "2 AS _copies", "3 AS _hash")
+    docs = docs.repartition(4)
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).distinct().collect()}
+    order = sorted(((-(1 << 63) if i is None else i), t) for i, t in ((i, t or "") for i, t in rows))
+    order.sort(key=lambda r: (-r[0], hashes[r[1] or None], r[1]))
+    wanted = []
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        half = len(t) // 2
+        wanted.append((None if i == -(1 << 63) else i, len(t), hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()))
+    out = fingerprints.edited_fingerprints(docs)
+    assert python_free(out)
+    got = out.collect()
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == sorted(wanted, key=repr)
+    crowd = [r for r in got if r.doc_id is None and r.n_chars == len(text(1))]
+    assert len(crowd) >= 90 and sum(r.near_next == 1 for r in crowd) >= 89
+    parts = []
+    real = fingerprints._place
+    monkeypatch.setattr(fingerprints, "_place", lambda *a: parts.append(real(*a)) or parts[-1])
+    fingerprints.edited_fingerprints(docs)
+    rows = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")).distinct()
+    assert rows.groupBy(parts[0]).count().agg(F.max("count")).first()[0] < 3 * 20
+
+
 def test_fingerprints_odd_documents(odd_docs, no_docs):
     rows = fingerprints.edited_fingerprints(odd_docs).collect()
     assert len(rows) == odd_docs.count()
@@ -264,6 +307,25 @@ def test_visits_reach_neighbours_at_every_size():
         assert hits >= 0.95 * 1000
 
 
+def test_recall_of_the_query_with_its_own_parameters(spark, tmp_path):
+    """Fifty thousand vectors, so that the trees have many leaves: the whole join against brute force."""
+    n = 50_000
+    vectors = derived_vectors(n)
+    rows = pa.table({"vec_id": pa.array(range(n), pa.int64()), "embedding": pa.array([*vectors], pa.list_(pa.float32()))})
+    pq.write_table(rows, tmp_path / "embeddings.parquet")
+    table = spark.read.parquet(str(tmp_path / "embeddings.parquet"))
+    got = neighbours.nearest(table, table.where("vec_id % 1000 = 0")).collect()
+    whole, hits = vectors.astype(float), 0
+    for query in range(0, n, 1000):
+        d = np.sqrt(((whole - whole[query]) ** 2).sum(1))
+        d[query] = np.inf
+        own = [r for r in got if r.query_id == query]
+        assert [r.rank for r in sorted(own, key=lambda r: (r.score, r.vec_id))] == [*range(1, 11)]
+        hits += len({r.vec_id for r in own} & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert neighbours.fit(whole[: neighbours.SAMPLE], n).depth > 4
+    assert hits >= 0.95 * len(got) == 0.95 * 500
+
+
 def test_crowded_leaves_are_sliced(spark, monkeypatch):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     asked = vectors.where("vec_id % 100 = 0")

@@ -12,12 +12,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.llm.common import BLANKS
+from trolley.llm.common import BLANKS, stored
 
 #: Words of an anchor. Of its K - 1 pairs of words, the least must be the first or the last.
 K = 5
 #: Documents of one range of ids, on average, and ranges at most.
 RANGE_ROWS, RANGES = 2_048, 1 << 16
+#: Bands that the rows of one key are split into are fewer than this.
+BANDS = 1 << 20
 _BLANK = r"[ \t-\r]+"
 
 
@@ -71,48 +73,91 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
     return F.least(below(tops) * step + below(part), F.lit(len(bounds)))
 
 
+def _place(key: str, text_hash: str, cuts: list[int]) -> Column:
+    """Number of the part a row lies in; the higher, the earlier in descending order of keys.
+
+    ``cuts`` are keys at equal steps of rank. A key that is cut at several times has that many rows: it is
+    split further, into bands of the text's hash, which go by ascending hash before the rest of its range.
+    """
+    bounds = sorted(set(cuts))
+    often = {k: n for k in bounds if (n := cuts.count(k)) > 1}
+    whole = _range_of(F.col(key), bounds).cast("long") * BANDS
+    if not often:
+        return whole
+    bands = F.try_element_at(F.create_map(*(F.lit(x).cast("long") for pair in often.items() for x in pair)), F.col(key))
+    # The upper half of the hash, from 0, scaled to the number of bands.
+    band = F.shiftright((F.shiftright(text_hash, 32) + (1 << 31)) * bands, 32)
+    return whole + F.when(bands.isNotNull(), BANDS - 1 - band).otherwise(F.lit(0))
+
+
+def _measured(rows: DataFrame, following: str, following_anchors: str) -> DataFrame:
+    """The result of rows with a text, its anchors ``_own``, and the next text and its anchors."""
+    chars = F.char_length("text")
+    half = F.floor(chars / 2).cast("int")
+    edited = F.concat(F.left(F.col("text"), chars - half), F.left(F.col(following), half))
+    made = with_anchors(rows.withColumn("_edited", edited), "_edited", "_new")
+    return made.select(
+        "doc_id",
+        chars.cast("long").alias("n_chars"),
+        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
+        as_string("_own").alias("fingerprint"),
+        as_string("_new").alias("edited_fingerprint"),
+        likeness("_own", "_new").alias("near_edited"),
+        likeness("_own", following_anchors).alias("near_next"),
+        "_copies",
+    )
+
+
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of an edited one, and their likeness.
 
     The edited text has its last half (rounded down, in code points) replaced by as much of the
     beginning of the next document's text, or all of it; documents go by descending doc_id, and the
     first follows the last. NULL text is empty; NULL doc_ids come last; rows of equal doc_id go by a
-    hash of their text. Extra columns are ignored.
+    hash of their text. Extra columns are ignored. An empty table gives no rows.
 
-    Documents are dealt by ranges of doc_id; the first of the following range is a guest at the end of
-    each. Texts are shuffled once.
+    Documents are dealt by ranges of doc_id, those of a frequent doc_id (or without one) by ranges of
+    their hash; the first of the following part is a guest at the end of each. Rows equal in doc_id and
+    text that are more than a range has rows go through as one, since all but the last are followed by
+    the same text. Texts are shuffled once.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("_key"))
-    n = rows.count()
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("_key")).withColumn("_hash", F.xxhash64("text"))
+    keys = stored(rows.select("_key", "_hash"), "keys")
+    n = keys.count()
     ranges = min(RANGES, n // RANGE_ROWS + 1)
-    cuts = rows.select(F.percentile_approx("_key", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else []
-    rows = rows.withColumn("_range", _range_of(F.col("_key"), sorted(set(cuts or []))))
-    order = [F.desc("_key"), F.xxhash64("text"), F.col("text")]
-
-    # One row per range: its largest key, and the range above, whose last document it follows.
-    heads = rows.groupBy("_range").agg(F.max("_key").alias("_key"))
+    cuts = keys.select(F.percentile_approx("_key", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else []
+    place = _place("_key", "_hash", cuts or []).alias("_range")
+
+    # At most a row per RANGE_ROWS documents.
+    crowds = stored(keys.groupBy("_key", "_hash").count().where(F.col("count") > RANGE_ROWS).select("_key", "_hash"), "crowds")
+    crowded = bool(crowds.take(1))
+    rows = rows.withColumn("_copies", F.lit(1).cast("long"))
+    if crowded:
+        same = rows.join(F.broadcast(crowds), ["_key", "_hash"], "left_semi")
+        same = same.groupBy("doc_id", "text", "_key", "_hash").agg(F.count(F.lit(1)).alias("_copies"))
+        rows = rows.join(F.broadcast(crowds), ["_key", "_hash"], "left_anti").unionByName(same)
+    rows = rows.select("*", place)
+
+    # One row per part: its first document, and the part above, whose last document that follows.
+    first = F.min(F.struct(F.bitwise_not("_key").alias("down"), "_hash")).alias("first")
+    heads = keys.select("*", place).groupBy("_range").agg(first)
     above = Window.orderBy("_range")
     heads = heads.withColumn("_to", F.coalesce(F.lead("_range").over(above), F.min("_range").over(Window.partitionBy())))
-    hosts = F.broadcast(heads.select(F.col("_key").alias("_head"), "_to"))
-    first = Window.partitionBy("_to").orderBy(*order[1:])
-    guests = rows.join(hosts, F.col("_key") == F.col("_head")).withColumn("_first", F.row_number().over(first)).where("_first = 1")
-    guests = guests.select("doc_id", "text", "_key", F.col("_to").alias("_range"), F.lit(True).alias("_guest"))
+    heads = heads.select("_range", F.bitwise_not("first.down").alias("_key"), F.col("first._hash").alias("_hash"), "_to")
+    guests = rows.join(F.broadcast(heads), ["_range", "_key", "_hash"]).groupBy("_to").agg(F.min("text").alias("text"))
+    guests = guests.select(F.col("_to").alias("_range"), "text", F.lit(True).alias("_guest"))
 
-    dealt = rows.withColumn("_guest", F.lit(False)).unionByName(guests).repartition("_range")
+    dealt = rows.withColumn("_guest", F.lit(False)).unionByName(guests, allowMissingColumns=True).repartition("_range")
     dealt = with_anchors(dealt, "text", "_own")
-    after = Window.partitionBy("_range").orderBy("_guest", *order)
+    after = Window.partitionBy("_range").orderBy("_guest", F.desc("_key"), "_hash", "text")
     paired = dealt.withColumn("_next", F.lead("text").over(after)).withColumn("_next_own", F.lead("_own").over(after)).where("not _guest")
-    chars = F.char_length("text")
-    half = F.floor(chars / 2).cast("int")
-    edited = F.concat(F.left(F.col("text"), chars - half), F.left(F.col("_next"), half))
-    made = with_anchors(paired.withColumn("_edited", edited), "_edited", "_new")
-    return made.select(
-        "doc_id",
-        chars.cast("long").alias("n_chars"),
-        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
-        as_string("_own").alias("fingerprint"),
-        as_string("_new").alias("edited_fingerprint"),
-        likeness("_own", "_new").alias("near_edited"),
-        likeness("_own", "_next_own").alias("near_next"),
-    )
+    out = _measured(paired, "_next", "_next_own").drop("_copies")
+    if not crowded:
+        return out
+    among = stored(_measured(with_anchors(same.where("_copies > 1"), "text", "_own"), "text", "_own"), "copies")
+    # All but the last of a crowd, counted out in two steps of bounded length each.
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 2) / RANGE_ROWS))).alias("_part")
+    left = F.least(F.lit(RANGE_ROWS).cast("long"), F.col("_copies") - 1 - F.col("_part") * RANGE_ROWS)
+    dealt = among.select("*", parts).repartition("doc_id", "edited_sha256", "_part")
+    return out.unionByName(dealt.withColumn("_one", F.explode(F.array_repeat(F.lit(1), left.cast("int")))).select(out.columns))
