@@ -35,7 +35,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name, query in QUERIES.items():
-        live = name.startswith(("stream_", "dashboard_"))
+        live = name.startswith(("stream_", "dashboard_", "compacted_", "reset_"))
         if only and name not in only:
             continue
         for _ in range(0 if live else 2):
