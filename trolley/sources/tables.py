@@ -91,12 +91,24 @@ def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _read(spark, name, table, manifest.current(spark, table))
 
 
+def _recent(spark: SparkSession, name: str, table: str, upto: int) -> DataFrame:
+    """Rows of the micro-batches after ``upto``. Of a compacted table only their folders are named to the
+    reader: others may be deleted while it looks through the table."""
+    reader = spark.read.schema(_stored_schema(name))
+    if upto < 0:
+        return reader.parquet(table)
+    later = [f"{table}/batch_id={b}" for b in batches_of(spark, table) if b > upto]
+    if not later:
+        return spark.createDataFrame([], _stored_schema(name))
+    return reader.option("basePath", table).parquet(*later)
+
+
 def _read(spark: SparkSession, name: str, table: str, now: Manifest) -> DataFrame:
-    rows = spark.read.schema(_stored_schema(name)).parquet(table)
+    rows = _recent(spark, name, table, now.upto)
     if not now.runs:
         return rows
     runs = spark.read.schema(_stored_schema(name)).parquet(*(f"{table}/{RUNS}/{run.name}" for run in now.runs))
-    return runs.unionByName(rows.where(F.col("batch_id") > now.upto))
+    return runs.unionByName(rows)
 
 
 def read_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -160,7 +172,7 @@ def lookup_range(spark: SparkSession, root: str, name: str, low, high) -> DataFr
 def _from_files(spark: SparkSession, root: str, name: str, here: Column, ranges: list[tuple]) -> DataFrame:
     table, schema = table_path(root, name), _stored_schema(name)
     now = manifest.current(spark, table)
-    rows = spark.read.schema(schema).parquet(table).where((F.col("batch_id") > now.upto) & here)
+    rows = _recent(spark, name, table, now.upto).where(here)
     files = _files(spark, name, table, now, ranges) if now.runs and ranges else []
     if files:
         rows = spark.read.schema(schema).parquet(*files).where(here).unionByName(rows)
@@ -236,8 +248,6 @@ def compact(
     kept, old = now.runs[: len(now.runs) - merged], now.runs[len(now.runs) - merged :]
     parts = Manifest(now.version, now.upto, old)
     rows = _read(spark, name, table, parts).where(F.col("batch_id") <= ready[-1])
-    if not old:
-        rows = rows.where(F.col("batch_id") > now.upto)
     if expired is not None:
         rows = rows.where(~F.coalesce(expired, F.lit(False)))
     first = old[0].first if old else ready[0]
@@ -267,6 +277,8 @@ def _sweep(spark: SparkSession, table: str, grace: float) -> None:
         return
     # The newest of the old ones was still valid when the grace began; it and all later ones count.
     still = [manifest.load(spark, table, v) for v, _ in found if v >= valid[-1][0]]
+    if None in still:
+        return  # Another process is sweeping.
     named = {run.name for m in still for run in m.runs}
 
     def delete(child: str) -> None:
