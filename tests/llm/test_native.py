@@ -33,10 +33,12 @@ def test_counts_one_apart_and_groups_together(spark, small):
 
 
 def test_fewer_cut_links_than_by_chance(spark):
-    """Groups of many sizes: where most of a group lies, against any placement that ignores groups."""
+    """Groups of many sizes among documents without links: where most of a group lies, against a placement
+    that ignores groups."""
     groups = spark.range(400).selectExpr("id AS g", "explode(sequence(1, 2 + id % 9)) AS n")
     docs = groups.selectExpr("g * 100 + n AS doc_id", "concat('text ', g) AS text")
-    placed = sharding.balanced_shards(docs)
+    alone = spark.range(12_000).selectExpr("id + 100000 AS doc_id", "concat('alone ', id) AS text")
+    placed = sharding.stored(sharding.balanced_shards(docs.unionByName(alone)), "placed").where("doc_id < 100000")
     kept, links = sharding.cut_links(placed).first()
     chance = placed.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(sharding.SHARDS)).cast("int"))
     by_chance = sharding.cut_links(chance).first().kept
