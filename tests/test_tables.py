@@ -208,3 +208,27 @@ def test_deep_pages_read_their_own_files(spark, tmp_path):
     assert len([f for f in files if not f.startswith("batch_id")]) < len(tables.manifest.current(spark, f"{root}/abandonment_log").runs) + 1
     last = {s: max(t for x, t in log if x == s) for s, _ in log}
     assert dict(map(tuple, tables.read_latest(spark, root, "abandoned_sessions").collect())) == last
+
+
+def test_index_of_a_run_is_aggregated_in_more_than_its_one_writing_task(spark, tmp_path):
+    """As in a micro-batch, without AQE: the task that writes the index must not hold the maps of all partitions."""
+    root, context, parts = str(tmp_path), spark.sparkContext, 7
+    rows = [(user, user, 0, 0, 0, 0) for user in range(1000)]
+    for batch in range(3):
+        tables._write(spark.createDataFrame(rows, RESULT_SCHEMAS["user_activity"]), batch, root, "user_activity")
+    set_before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        context.setJobGroup("index", "")
+        assert tables.compact(spark, root, "user_activity", 2)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in set_before.items():
+            spark.conf.set(key, value)
+    status = context.statusTracker()
+    stages = sorted(status.getJobInfo(max(status.getJobIdsForGroup("index"))).stageIds)
+    assert [status.getStageInfo(s).numTasks for s in stages][-2:] == [parts, 1]
+    assert len(stages) == 3
+    assert tuples(tables.lookup(spark, root, "user_activity", [5, 999])) == [rows[5], rows[999]]
+    assert tuples(tables.read_latest(spark, root, "user_activity")) == rows

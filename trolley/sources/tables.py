@@ -266,7 +266,9 @@ def _write_run(rows: DataFrame, name: str, runs: str, run: str) -> None:
     folded.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{runs}/{run}")
     written = spark.read.schema(schema).parquet(f"{runs}/{run}").select(first, F.col("_metadata.file_name").alias("file"))
     ranges = written.groupBy("file").agg(F.min(first).alias("low"), F.max(first).alias("high"))
-    ranges.select(F.lit(run).alias("run"), "file", "low", "high").coalesce(1).write.parquet(f"{runs}/{run}/{INDEX}")
+    # One file, by a shuffle of these few rows: a coalesce would put the whole aggregate, and the memory
+    # of each of its partitions, into that one task.
+    ranges.select(F.lit(run).alias("run"), "file", "low", "high").repartition(1).write.parquet(f"{runs}/{run}/{INDEX}")
 
 
 def _sweep(spark: SparkSession, table: str, grace: float) -> None:
