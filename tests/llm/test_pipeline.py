@@ -1,6 +1,7 @@
 """The pipeline against a plain version of its stages."""
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -58,3 +59,24 @@ def test_odd_documents(spark, small, odd_docs, no_docs):
             assert docs.columns == names and docs.count() <= n
         packed = corpus_pipeline.pack(spark, docs, small)
         assert packed.where("start = 0").count() == docs.count()
+
+
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark, monkeypatch):
+    """24 MB of texts in one partition: well under the rows of a batch."""
+
+    def sizes(batches):
+        for batch in batches:
+            made = [pa.array([str(batch.nbytes)] * len(batch)) if n == "text" else c for n, c in zip(batch.schema.names, batch.columns, strict=True)]
+            yield pa.RecordBatch.from_arrays(made, batch.schema.names)
+
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.range(0, 240, 1, 1).selectExpr("id doc_id", "repeat('abcdefghi ', 10000) text", "'en' lang", "'s' source", "100000L n_chars")
+    monkeypatch.setattr(corpus_pipeline.line_dedup, "dedup_lines", lambda rows: rows.mapInArrow(sizes, kind))
+    try:
+        rows = dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, "").collect()
+        assert len(rows) == 240 and max(int(r.text) for r in rows) <= 2 * corpus_pipeline.BATCH_BYTES
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, "12345678")
+        dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, "")
+        assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == "12345678"
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH_SETTING)

@@ -35,3 +35,15 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 and r.hash == "x" for r in rows)
     nobody = toxicity.fit(no_docs, labels.limit(0))
     assert toxicity.scored(no_docs, nobody).count() == 0
+
+
+def test_scorer_keeps_few_words():
+    """Many distinct words: their weights don't pile up in the worker, and the score is the same."""
+    text = ". ".join(f"word{i} scum{i}" for i in range(40_000))
+    model = toxicity.Model({f: 0.01 for f in toxicity.word_features("word")}, -9.0)
+    scorer = model.scorer()
+    known = [toxicity.Scorer(model).score(s) for s in text.split(". ")[:50]]
+    assert [scorer.score(s) for s in text.split(". ")[:50]] == known
+    scorer.score(text)
+    assert len(scorer) <= 1 << 15
+    assert [scorer.score(s) for s in text.split(". ")[:50]] == known

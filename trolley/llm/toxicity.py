@@ -29,7 +29,8 @@ SENTENCE = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"\w+")
 #: A word counts as a whole and by beginnings of these lengths.
 STEMS = (4, 5, 6, 7)
-CACHE = 500_000
+#: Words whose weight a task keeps at once.
+CACHE = 1 << 15
 
 
 def sentences(text: str | None) -> list[str]:
