@@ -286,6 +286,28 @@ def test_abandonment_of_many_sessions_in_a_group(spark, tmp_path, monkeypatch, r
     assert max(states) == 2
 
 
+def test_pages_of_sessions_in_few_groups(spark, tmp_path, monkeypatch):
+    """Every page, with its product lists, is as in batch; the timers keep one row of state a page of sessions."""
+    monkeypatch.setattr(timers, "GROUPS", 2)
+    monkeypatch.setattr(timers, "PAGES", 1)
+    rng = random.Random(4)
+    rows = [r | {"user_session": f"s{rng.randrange(60)}"} for r in shop(0, 200)]
+    folder, root = in_parts(tmp_path, rows, 2), str(tmp_path / "out")
+    query = jobs.abandonment_log(events_from(spark, folder), root)
+    query.awaitTermination()
+    run(jobs.cart_items, spark, folder, root)
+    batch = make_events(spark, rows)
+    log = abandonment.abandonment_log(abandonment.firings(batch, "event"))
+    lists = abandonment.abandoned_carts(abandonment.cart_items(batch, "event"), log)
+    columns = ["user_session", "fired_at", "products"]
+    for number in range(2):
+        page = ranking.with_products(ranking.page(log, number), lists)
+        live = dashboard.abandoned_page(spark, root, number)
+        assert plain(live.select(columns)) == plain(page.select(columns)) != []
+    kept = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"] if "transformWithState" in op["operatorName"]]
+    assert max(kept) == 2
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_abandonment_equals_batch(spark, tmp_path, seed):
     rows = shop(seed, 400)
